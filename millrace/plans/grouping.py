@@ -5,15 +5,22 @@ A file is a row with its directory, modification time, path and length.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .sequences import BLOCK, ROWS_PER_BLOCK, number_rows, ordered_blocks
 
 
+# The helpers below travel to the workers with the functions that use them, so that
+# these need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def sort_files(files: DataFrame, directory: str = "dir", mtime: str = "mtime", path: str = "path") -> DataFrame:
     """Oldest first within each directory."""
     return files.orderBy(directory, mtime, path)
@@ -89,6 +96,7 @@ def plan_by_size(
     blocks = ordered_blocks(files, directory, order, rows_per_block)
     key_fields = [T.StructField(BLOCK, T.IntegerType())] + [blocks.schema[d] for d in directory]
     keys = [BLOCK, *directory]
+    columns = [*files.columns, "group_no"]
 
     def summarise(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(order)
@@ -115,9 +123,10 @@ def plan_by_size(
         carried, closed, starts = 0, 0, []
         for least, outs, counts, whole in zip(rows["least"], rows["outs"], rows["counts"], rows["whole"]):
             starts.append((carried, closed))
-            fits = [i for i, bound in enumerate(least) if bound <= carried]
-            if fits:
-                carried, closed = int(outs[fits[0]]), closed + int(counts[fits[0]])
+            # The bounds fall, so the first that fits is found by halving.
+            first = len(least) - int(np.searchsorted(np.asarray(least)[::-1], carried, side="right"))
+            if first < len(least):
+                carried, closed = int(outs[first]), closed + int(counts[first])
             else:
                 carried += int(whole)
         found = rows[keys].copy()
@@ -134,7 +143,7 @@ def plan_by_size(
         before = np.searchsorted(np.asarray(places, dtype=np.int64), np.arange(len(rows)))
         group = pd.Series(before + rows["closed"].to_numpy(), index=rows.index, dtype="Int64")
         rows["group_no"] = group.where(group < rows["all_closed"])
-        return rows[[*files.columns, "group_no"]]
+        return rows[columns]
 
     schema = T.StructType([*files.schema.fields, T.StructField("group_no", T.LongType())])
     return blocks.join(starts, keys).groupBy(*keys).applyInPandas(number, schema)

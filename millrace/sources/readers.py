@@ -6,11 +6,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..spec import SourceSpec
 
+KAFKA_POSITION = ("topic", "partition", "offset")
+FILE_POSITION = ("modified", "file", "line")
+
+
+def position_columns(source: SourceSpec) -> tuple[str, ...]:
+    """Columns that name and order the messages of a source."""
+    return KAFKA_POSITION if source.format == "kafka" else FILE_POSITION
+
 
 def read_source(
     spark: SparkSession, source: SourceSpec, streaming: bool = True, schema: T.StructType | None = None
 ) -> DataFrame:
-    """Messages in the column `value`; Kafka adds topic, partition, offset and timestamp."""
+    """Messages in the column `value`, and where each one stands in the source: topic,
+    partition and offset in Kafka, modification time, file and line order in files."""
     reader = (spark.readStream if streaming else spark.read).format(source.format)
     reader = reader.options(**source.options)
     if schema is not None:
@@ -18,7 +27,14 @@ def read_source(
     if source.format == "kafka":
         rows = reader.load()
         return rows.select("topic", "partition", "offset", "timestamp", F.col("value").cast("string").alias("value"))
-    return reader.load(source.path)
+    rows = reader.load(source.path)
+    meta = F.col("_metadata")
+    return rows.select(
+        meta.getField("file_modification_time").alias("modified"),
+        meta.getField("file_path").alias("file"),
+        F.monotonically_increasing_id().alias("line"),
+        *rows.columns,
+    )
 
 
 def read_text_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:

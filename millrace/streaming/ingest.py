@@ -10,14 +10,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import quality
 from ..plans.compaction import compact
-from ..sources.readers import read_source
+from ..sources.readers import position_columns, read_source
 from ..sources.sinks import SEQ, Sink, build_sink, sequence_of, sink_dirty, write_error_log
 from ..sources.tables import add_partitions, describe_table
-from ..spec import JobSpec
+from ..spec import JobSpec, SchemaSpec
 from .ledger import Ledger
 
-POSITION = ("topic", "partition", "offset")
-
 
 def _now() -> datetime:
     return datetime.now(timezone.utc)
@@ -61,11 +59,11 @@ class Ingest:
         spark: SparkSession,
         job: JobSpec,
         sinks: Sequence[Sink] | None = None,
-        position: Sequence[str] = POSITION,
+        position: Sequence[str] | None = None,
         clock: Callable[[], datetime] = _now,
     ):
         self.spark, self.job, self.clock = spark, job, clock
-        self.position = list(position)
+        self.position = list(position or position_columns(job.source))
         self.sinks = list(sinks) if sinks is not None else [build_sink(spark, s, job.schema) for s in job.sinks]
         self.ledger = Ledger(spark, f"{job.task.checkpoint.rstrip('/')}/totals")
         self.upkeep = Upkeep(spark, job, clock)
@@ -149,6 +147,6 @@ class Ingest:
         write_error_log(self.spark, self.job.log_path, message, self.job.dirty.task_instance_id, self.clock())
 
 
-def ingest_rows(messages: DataFrame, job: JobSpec, keep: Sequence[str] = ()) -> DataFrame:
-    """The good rows of a table of messages, as the job would hand them to its sinks."""
-    return quality.clean_rows(quality.validate(messages, job.schema, keep=keep), keep=keep)
+def ingest_rows(messages: DataFrame, schema: SchemaSpec, keep: Sequence[str] = ()) -> DataFrame:
+    """The good rows of a table of messages, as a job would hand them to its sinks."""
+    return quality.clean_rows(quality.validate(messages, schema, keep=keep), keep=keep)
