@@ -21,13 +21,15 @@ from .grouping import chunk_files, plan_by_age, plan_by_size
 
 WORK = "_compaction"
 NEW_FILES = "part-*"
+# Working columns beside a table's own.
+GROUP, FILE, PIECE = "merge_group", "_merge_file", "_merge_piece"
 EXTENSIONS = {"parquet": "parquet", "orc": "orc", "text": "txt"}
 
 
 def _file_number(path: Column) -> Column:
     """What tells the files of one job apart: the task and its file counter."""
     task = F.regexp_extract(path, r"/part-(\d+)[^/]*$", 1)
-    counter = F.regexp_extract(path, r"[.-]c(\d+)(?:\.[a-z]+)+$", 1)
+    counter = F.regexp_extract(path, r"[.-]c(\d+)(?:\.(?!c\d)[a-z0-9]+)+$", 1)
     return F.concat_ws("-", task, counter)
 
 
@@ -63,14 +65,18 @@ def compact(
     now = now or datetime.now(timezone.utc)
     planned = plan_groups(list_files(spark, root, NEW_FILES), policy, now)
     planned = written(planned, "compaction-plan")
-    groups = planned.groupBy("dir", "grp").agg(F.count(F.lit(1)).alias("files"))
-    groups = groups.where("files > 1").withColumn("id", F.monotonically_increasing_id())
+    piece_bytes = max(policy.max_part_bytes, 1 << 20)
+    groups = planned.groupBy("dir", "grp").agg(
+        F.count(F.lit(1)).alias("files"), F.ceil(F.sum("length") / piece_bytes).alias("pieces")
+    )
+    groups = groups.where("files > 1").withColumn(GROUP, F.monotonically_increasing_id())
     groups = written(groups, "compaction-groups")
-    count = groups.count()
+    count, pieces = groups.agg(F.count(F.lit(1)), F.sum("pieces")).first()
     if count == 0:
         return 0
-    unit = f"{work}/{uuid.uuid4().hex}"
-    inputs = planned.join(groups, ["dir", "grp"]).select("path", "id")
+    name = uuid.uuid4().hex
+    unit = f"{work}/{name}"
+    inputs = planned.join(groups, ["dir", "grp"]).select(F.col("path").alias(FILE), GROUP)
 
     rows = spark.read.format(fmt).load(root)
     meta = F.col("_metadata")
@@ -80,21 +86,22 @@ def compact(
     # The name pattern keeps files that are merged already out of the scan.
     chosen = rows.where(meta.getField("file_name").like("part-%")).select(
         *data_columns,
-        plain_path(meta.getField("file_path")).alias("path"),
-        F.floor(meta.getField("file_block_start") / max(policy.max_part_bytes, 1 << 20)).alias("_piece"),
+        plain_path(meta.getField("file_path")).alias(FILE),
+        F.floor(meta.getField("file_block_start") / piece_bytes).alias(PIECE),
     )
-    merged = chosen.join(inputs, "path").drop("path")
-    staged = merged.repartition(count, "id", "_piece").drop("_piece")
-    staged.write.format(fmt).partitionBy("id").save(f"{unit}/data")
+    staged = chosen.join(inputs, FILE).drop(FILE).repartition(max(count, pieces), GROUP, PIECE).drop(PIECE)
+    staged.write.format(fmt).partitionBy(GROUP).save(f"{unit}/data")
 
+    outputs = list_files(spark, f"{unit}/data", NEW_FILES).select(
+        F.col("path").alias("source"), F.regexp_extract("dir", rf"/{GROUP}=(\d+)$", 1).cast("bigint").alias(GROUP)
+    )
     stamp = now.strftime("%Y%m%d%H%M%S")
-    outputs = list_files(spark, f"{unit}/data", NEW_FILES)
-    named = outputs.withColumn("id", F.regexp_extract("dir", r"/id=(\d+)$", 1).cast("bigint")).join(groups, "id")
     target = F.concat(
-        groups["dir"], F.lit(f"/merged-{stamp}-"), F.col("id"), F.lit("-"), _file_number(outputs["path"]),
+        "dir", F.lit(f"/merged-{stamp}-{name[:12]}-"), GROUP, F.lit("-"), _file_number(F.col("source")),
         F.lit(f".{EXTENSIONS[fmt]}"),
     )
-    commit.publish(unit, named.select(outputs["path"].alias("source"), target.alias("target")), inputs.select("path"))
+    moves = outputs.join(groups, GROUP).select("source", target.alias("target"))
+    commit.publish(unit, moves, inputs.select(F.col(FILE).alias("path")))
     commit.finish(spark, fs, unit)
     return count
 
@@ -110,21 +117,20 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     of the merged files and those they came from, only one side is read."""
     fs = Files(spark, path)
     root = fs.qualified(path)
-    rows = spark.read.format(fmt).load(root)
+    loaded = spark.read.format(fmt).load(root)
+    rows = loaded.select("*", plain_path(F.col("_metadata.file_path")).alias(FILE))
     for name in fs.names(f"{root}/{WORK}"):
         unit = f"{root}/{WORK}/{name}"
         if not commit.is_published(fs, unit):
             continue
         listed = commit.manifest(spark, unit)
-        moved = listed.where("action = 'move'").select(F.col("target").alias("_hidden"))
-        gone = listed.where("action = 'remove'").select(F.col("source").alias("_hidden"))
+        moved = listed.where("action = 'move'").select(F.col("target").alias(FILE))
+        gone = listed.where("action = 'remove'").select(F.col("source").alias(FILE))
         # Removals start when all moves are done: until then the inputs are the table.
-        arrived = list_files(spark, root, "merged-*").select(F.col("path").alias("_hidden"))
-        pending = not moved.join(arrived, "_hidden", "left_anti").isEmpty()
-        rows = rows.join(
-            moved if pending else gone, plain_path(F.col("_metadata.file_path")) == F.col("_hidden"), "left_anti"
-        )
-    return rows
+        arrived = list_files(spark, root, "merged-*").select(F.col("path").alias(FILE))
+        pending = not moved.join(arrived, FILE, "left_anti").isEmpty()
+        rows = rows.join(moved if pending else gone, FILE, "left_anti")
+    return rows.select(*loaded.columns)
 
 
 def commit_staged(

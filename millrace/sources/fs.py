@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -46,7 +47,8 @@ class Files:
             raise OSError(f"cannot move {source} to {target}")
 
     def qualified(self, path: str) -> str:
-        return self._fs.makeQualified(self._path(path)).toUri().toString()
+        """The full path, local ones with one slash, as the file system itself names them."""
+        return re.sub("^file:/+", "file:/", self._fs.makeQualified(self._path(path)).toString())
 
     @staticmethod
     def each(action, items: Iterable, threads: int = 16) -> None:

@@ -19,7 +19,7 @@ def read_source(
     spark: SparkSession, source: SourceSpec, streaming: bool = True, schema: T.StructType | None = None
 ) -> DataFrame:
     """Messages in the column `value`, and where each one stands in the source: topic,
-    partition and offset in Kafka, modification time, file and line order in files."""
+    partition and offset in Kafka, modification time and file elsewhere."""
     reader = (spark.readStream if streaming else spark.read).format(source.format)
     reader = reader.options(**source.options)
     if schema is not None:
@@ -32,11 +32,15 @@ def read_source(
     return rows.select(
         meta.getField("file_modification_time").alias("modified"),
         meta.getField("file_path").alias("file"),
-        F.monotonically_increasing_id().alias("line"),
         *rows.columns,
     )
 
 
+def number_lines(batch: DataFrame) -> DataFrame:
+    """Adds `line`, which rises with the place in the file; for batches, not for streams."""
+    return batch.withColumn("line", F.monotonically_increasing_id())
+
+
 def read_text_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Lines of the text files that arrive in a directory."""
     reader = spark.readStream

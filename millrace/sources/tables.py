@@ -109,14 +109,13 @@ def add_partitions(spark: SparkSession, table: str, batch: int = 200) -> int:
         return 0
     found = leaf_partitions(spark, info.location, keys)
     new = missing_partitions(found, registered_partitions(spark, info), keys)
-    types = dict(info.columns)
 
     def clause(row) -> str:
         def literal(key: str) -> str:
             if row[key] is None:
                 return "NULL"
             quoted = row[key].replace("\\", "\\\\").replace("'", "\\'")
-            return f"'{quoted}'" if types[key] == "string" else f"CAST('{quoted}' AS {types[key]})"
+            return f"'{quoted}'"
 
         return "PARTITION (" + ", ".join(f"`{k}` = {literal(k)}" for k in keys) + ")"
 

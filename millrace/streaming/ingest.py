@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import quality
 from ..plans.compaction import compact
-from ..sources.readers import position_columns, read_source
+from ..sources.readers import number_lines, position_columns, read_source
 from ..sources.sinks import SEQ, Sink, build_sink, sequence_of, sink_dirty, write_error_log
 from ..sources.tables import add_partitions, describe_table
 from ..spec import JobSpec, SchemaSpec
@@ -79,6 +79,8 @@ class Ingest:
             quality.fail_over(before.dirty, dirty_spec.handle_mode)
             return
         started = self.ledger.start(batch_id, self.clock())
+        if "line" in self.position and "line" not in batch.columns:
+            batch = number_lines(batch)
         checked = self.validated(batch).persist()
         try:
             counted = checked.agg(
