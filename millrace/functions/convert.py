@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F, types as T
 
 LONG_MAX = 9223372036854775807
-LONG_MIN = -9223372036854775808
+INTEGER = r"^\s*[+-]?[0-9]{1,19}\s*$"
 # The only non-finite spellings Java reads as a double.
 NON_FINITE_WORDS = ("NaN", "+NaN", "-NaN", "Infinity", "+Infinity", "-Infinity")
 
@@ -16,24 +16,23 @@ def to_string(c: Column) -> Column:
 
 def to_double(c: Column) -> Column:
     """A double in Java's spelling; other spellings of infinity and NaN are refused."""
-    number = c.try_cast("double")
-    spelled = F.trim(c).isin(*NON_FINITE_WORDS) | c.rlike("[0-9]")
-    return F.when(F.abs(number) < float("inf"), number).when(spelled, number)
+    # `n` occurs in no finite number, so only such words pay for the spelling test.
+    return F.when(~c.rlike("[nN]") | F.trim(c).isin(*NON_FINITE_WORDS), c.try_cast("double"))
+
+
+def exact_integer(c: Column, target: str = "bigint") -> Column:
+    """The value of a text that is an integer. Others are told by their look, since a
+    cast that fails costs many times one that does not."""
+    return F.when(c.rlike(INTEGER), c.try_cast(target))
 
 
 def to_long(c: Column) -> Column:
-    """An exact integer where the text is one, else the double cut toward zero.
+    """The number cut toward zero, integers exactly.
 
-    Out-of-range values take the nearest bound and NaN gives 0.
+    Out-of-range values take the nearest bound and NaN gives 0, as `floor` and `ceil` do.
     """
     number = to_double(c)
-    return F.coalesce(
-        c.try_cast("bigint"),
-        number.try_cast("bigint"),
-        F.when(F.isnan(number), F.lit(0).cast("bigint"))
-        .when(number > 0, F.lit(LONG_MAX))
-        .when(number < 0, F.lit(LONG_MIN)),
-    )
+    return F.coalesce(exact_integer(c), F.when(number >= 0, F.floor(number)).otherwise(F.ceil(number)))
 
 
 def to_boolean(c: Column) -> Column:
@@ -51,9 +50,8 @@ def normalise_number(c: Column) -> Column:
     Whole values become longs, others and those above the long range doubles.
     """
     number = to_double(c)
-    whole = F.coalesce(
-        c.try_cast("bigint"), F.when(number == F.rint(number), number.try_cast("bigint"))
-    )
+    fits = (number == F.rint(number)) & (F.abs(number) < float(LONG_MAX))
+    whole = F.coalesce(exact_integer(c), F.when(fits, F.floor(number)))
     return F.struct(whole.alias("as_long"), F.when(whole.isNull(), number).alias("as_double"))
 
 
@@ -78,10 +76,10 @@ def convert(c: Column, declared: str) -> Column:
     return _CONVERT.get(declared.upper(), to_string)(c)
 
 
-def conversion_failed(raw: Column, typed: Column, declared: str) -> Column:
+def conversion_failed(raw: Column, declared: str) -> Column:
     """True where a present value does not fit its declared numeric type."""
     if declared.upper() == "DOUBLE":
-        return raw.isNotNull() & typed.isNull()
+        return raw.isNotNull() & to_double(raw).isNull()
     if declared.upper() == "LONG":
-        return raw.isNotNull() & typed.isNull() & (raw != "null")
+        return raw.isNotNull() & to_double(raw).isNull() & (raw != "null")
     return F.lit(False)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, functions as F
 
 ISO_PATTERN = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 LOCAL_PATTERN = "yyyy-MM-dd HH:mm:ss"
+_DAY = "[0-9]{4}(?:0[1-9]|1[0-2])(?:0[1-9]|[12][0-9]|3[01])"
 
 
 def parse_date(c: Column) -> Column:
@@ -15,15 +16,18 @@ def parse_date(c: Column) -> Column:
     Local texts are in the session's zone. Other texts give null.
     """
     bare = F.regexp_replace(c, "[-|: ]", "")
-    local = F.when(F.length(bare) == 8, F.try_to_timestamp(bare, F.lit("yyyyMMdd"))).when(
-        F.length(bare) == 14, F.try_to_timestamp(bare, F.lit("yyyyMMddHHmmss"))
+    # Told by their look first, since a failed parse costs many times one that succeeds.
+    local = F.when(bare.rlike(f"^{_DAY}$"), F.try_to_timestamp(bare, F.lit("yyyyMMdd"))).when(
+        bare.rlike(f"^{_DAY}[0-9]{{6}}$"), F.try_to_timestamp(bare, F.lit("yyyyMMddHHmmss"))
     )
     iso = F.when(c.endswith("Z"), F.try_to_timestamp(c, F.lit("yyyy-MM-dd'T'HH:mm:ssX")))
     return F.when(c.contains("T"), iso).otherwise(local)
 
 
 def is_date(c: Column) -> Column:
-    return F.coalesce(parse_date(c).isNotNull(), F.lit(False))
+    """Whether a text is in one of the accepted spellings."""
+    plausible = c.rlike("^[-|: 0-9]{8,}$|T")
+    return F.coalesce(plausible & parse_date(c).isNotNull(), F.lit(False))
 
 
 def format_local(ts: Column, pattern: str = LOCAL_PATTERN) -> Column:

@@ -71,7 +71,8 @@ def split_points(n_logic: int = LOGIC_PARTITIONS, n_physical: int = 16) -> list[
 def region_of(key: Column, n_logic: int = LOGIC_PARTITIONS, n_physical: int = 16) -> Column:
     """Number of the region that holds a row key, from 0."""
     bounds = F.array(*[F.lit(b) for b in split_points(n_logic, n_physical)])
-    return F.size(F.filter(bounds, lambda b: b <= key))
+    # A one-element transform binds the key, so that it is worked out once per row.
+    return F.transform(F.array(key), lambda k: F.size(F.filter(bounds, lambda b: b <= k))).getItem(0)
 
 
 def stable_salt(key: Column, n: int) -> Column:

@@ -14,7 +14,8 @@ WHITE_SPACE = (
 
 def is_blank(c: Column) -> Column:
     """Null, empty or white space only; never null itself."""
-    return c.isNull() | (F.btrim(c, F.lit(WHITE_SPACE)) == "")
+    # The search ends at the first character that is not white space.
+    return ~F.coalesce(c.rlike(f"[^{WHITE_SPACE}]"), F.lit(False))
 
 
 def has_slash(c: Column) -> Column:

@@ -29,17 +29,20 @@ def _shape(paths: set[tuple]) -> T.StructType:
     return struct(tree)
 
 
-def _anchor(path: tuple, declared: set[tuple]) -> tuple:
-    """The part of a path that the struct parse covers: up to the first index, and no
-    deeper than another declared path that ends above it."""
-    names = []
-    for step in path:
-        if isinstance(step, int):
-            break
-        names.append(step)
-        if tuple(names) in declared:
-            break
-    return tuple(names)
+def _anchors(paths: list[tuple]) -> list[tuple]:
+    """The part of each path that the struct parse covers: up to the first index, and no
+    deeper than another path's that ends above it. The rest is read from the part's text."""
+
+    def names(path: tuple) -> tuple:
+        indexes = [i for i, step in enumerate(path) if isinstance(step, int)]
+        return path[: indexes[0]] if indexes else path
+
+    ends = {names(p) for p in paths}
+    covered = []
+    for path in map(names, paths):
+        shorter = [path[:n] for n in range(1, len(path)) if path[:n] in ends]
+        covered.append(shorter[0] if shorter else path)
+    return covered
 
 
 def extract(
@@ -51,31 +54,26 @@ def extract(
     or null field, also under a missing or wrong parent, is null.
     """
     paths = [jsonpath.steps(f.source) for f in fields]
-    names_only = {p for p in paths if not any(isinstance(s, int) for s in p)}
-    declared = names_only | {
-        tuple(p[: next(i for i, s in enumerate(p) if isinstance(s, int))]) for p in paths if p not in names_only
-    }
-    anchors = [_anchor(p, declared) for p in paths]
-    rooted = {a for a in anchors if a}
-    schema = _shape(rooted).add(CORRUPT, T.StringType())
-    parsed = F.from_json(F.col(value), schema, {"columnNameOfCorruptRecord": CORRUPT})
-    # Generating the struct's columns keeps later filters above the parse, so that it
-    # runs once per row and not once more for every condition on its result.
-    rows = df.select(*keep, F.col(value).alias("raw"), F.inline(F.array(F.struct(parsed.alias("_doc")))))
+    anchors = _anchors(paths)
+    schema = _shape({a for a in anchors if a}).add(CORRUPT, T.StringType())
+    parsed = F.from_json(F.col("raw"), schema, {"columnNameOfCorruptRecord": CORRUPT})
+    # A generated column, unlike a projected one, is not copied into the filters on what
+    # comes of it, so that the text is parsed once per row.
+    named = df.select(*keep, F.col(value).alias("raw"))
+    rows = named.select("*", F.inline(F.array(F.struct(parsed.alias("_doc")))))
+    doc, raw = F.col("_doc"), F.col("raw")
 
     def field_column(path: tuple, anchor: tuple) -> Column:
         if not anchor:
-            return F.get_json_object("raw", jsonpath.render(path))
-        c = F.col("_doc")
+            return F.get_json_object(raw, jsonpath.render(path))
+        c = doc
         for name in anchor:
             c = c.getField(name)
         rest = path[len(anchor):]
         return F.get_json_object(c, jsonpath.render(rest)) if rest else c
 
-    doc = F.col("_doc")
-    suspicious = doc.isNull() | doc.getField(CORRUPT).isNotNull()
-    no_object = F.try_parse_json("raw").isNull() | ~F.ltrim("raw").startswith("{")
-    malformed = F.when(suspicious, F.coalesce(no_object, F.lit(True))).otherwise(F.lit(False))
+    no_object = F.try_parse_json(raw).isNull() | ~F.ltrim(raw).startswith("{")
+    malformed = F.when(doc.isNull(), True).when(doc.getField(CORRUPT).isNotNull(), no_object).otherwise(False)
     return rows.select(
         *keep,
         "raw",

@@ -27,9 +27,7 @@ def guess_type(c: Column) -> Column:
 
 def profile_types(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column the number of values of each kind, from one pass over the rows."""
-    guessed = df.select(*[guess_type(F.col(c).cast("string")).alias(c) for c in columns])
-    # Generated rather than projected, so that each guess is made once and not per count.
-    guesses = guessed.select(F.inline(F.array(F.struct(*columns))))
+    guesses = df.select(*[guess_type(F.col(c).cast("string")).alias(c) for c in columns])
     counted = guesses.agg(
         *[F.count_if(F.col(c) == kind).alias(f"{c}#{kind}") for c in columns for kind in KINDS]
     )

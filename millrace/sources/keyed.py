@@ -36,26 +36,26 @@ class KeyedTable:
         done = [n for n in found if self.files.exists(f"{self.path}/_versions/{n}/_SUCCESS")]
         return sorted(int(n.removeprefix("v=")) for n in done)
 
+    def _entries(self, version: int) -> list:
+        """One entry per bucket that has rows, and one with bucket -1."""
+        return self.spark.read.schema(_MANIFEST).parquet(f"{self.path}/_versions/v={version}").collect()
+
     def _manifest(self, version: int) -> dict[int, int]:
-        """Version of each bucket that has rows; never more entries than buckets."""
-        rows = self.spark.read.schema(_MANIFEST).parquet(f"{self.path}/_versions/v={version}")
-        return {r["bucket"]: r["version"] for r in rows.where("bucket >= 0").collect()}
+        """Version of each bucket that has rows."""
+        return {r["bucket"]: r["version"] for r in self._entries(version) if r["bucket"] >= 0}
 
     def last_batch(self) -> int:
         versions = self.versions()
-        if not versions:
-            return -1
-        rows = self.spark.read.schema(_MANIFEST).parquet(f"{self.path}/_versions/v={versions[-1]}")
-        return rows.agg(F.max("batch_id")).first()[0]
+        return max(r["batch_id"] for r in self._entries(versions[-1])) if versions else -1
 
-    def read(self, version: int | None = None, buckets: Sequence[int] | None = None) -> DataFrame:
+    def read(self, version: int | None = None) -> DataFrame:
         versions = self.versions()
         if not versions:
             return self.spark.createDataFrame([], self.schema)
-        current = self._manifest(versions[-1] if version is None else version)
-        paths = [
-            f"{self.path}/data/v={v}/bucket={b}" for b, v in current.items() if buckets is None or b in buckets
-        ]
+        return self._read(self._manifest(versions[-1] if version is None else version))
+
+    def _read(self, entries: dict[int, int]) -> DataFrame:
+        paths = [f"{self.path}/data/v={v}/bucket={b}" for b, v in entries.items()]
         if not paths:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*paths)
@@ -71,13 +71,14 @@ class KeyedTable:
     ) -> bool:
         """Apply a batch once; false if it was applied before. `patch` overwrites only the
         fields that changes carry, otherwise whole rows are replaced."""
-        if batch_id <= self.last_batch():
-            return False
         versions = self.versions()
-        current = self._manifest(versions[-1]) if versions else {}
+        entries = self._entries(versions[-1]) if versions else []
+        if entries and batch_id <= entries[0]["batch_id"]:
+            return False
+        current = {r["bucket"]: r["version"] for r in entries if r["bucket"] >= 0}
         version = (versions[-1] if versions else 0) + 1
         touched = {r["b"] for r in changes.select(self._bucket().alias("b")).distinct().collect()}
-        stored = self.read(buckets=touched)
+        stored = self._read({b: v for b, v in current.items() if b in touched})
         if patch:
             merged = upsert_patch(stored, changes, self.keys, seq, delete)
         else:

@@ -8,6 +8,7 @@ from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from ..functions.convert import exact_integer
 from ..operators.lookup import missing_partitions
 from .files import leaf_partitions, unescape
 
@@ -133,6 +134,15 @@ def refresh_partitions(spark: SparkSession, table: str) -> None:
     spark.catalog.refreshTable(table)
 
 
+# What the integer types hold.
+INTEGER_BOUNDS = {
+    "tinyint": (-(1 << 7), (1 << 7) - 1),
+    "smallint": (-(1 << 15), (1 << 15) - 1),
+    "int": (-(1 << 31), (1 << 31) - 1),
+    "bigint": (-(1 << 63), (1 << 63) - 1),
+}
+
+
 def fit(c: Column, source: T.DataType, target: str | T.DataType) -> Column:
     """A value as a column type; what does not fit becomes null."""
     name = target if isinstance(target, str) else target.simpleString()
@@ -145,6 +155,14 @@ def fit(c: Column, source: T.DataType, target: str | T.DataType) -> Column:
         return F.from_json(c, name)
     if isinstance(source, (T.ArrayType, T.MapType, T.StructType)) and name == "string":
         return F.to_json(c)
+    if name in INTEGER_BOUNDS and isinstance(source, T.StringType):
+        return exact_integer(c, name)
+    if name in INTEGER_BOUNDS and isinstance(source, (T.DoubleType, T.FloatType, T.LongType, T.IntegerType)):
+        low, high = INTEGER_BOUNDS[name]
+        # Cut toward zero, so anything short of the next integer still fits.
+        inside = (c > low - 1) & (c < high + 1) if name != "bigint" else (c >= float(low)) & (c < float(high))
+        whole = isinstance(source, T.LongType) and name == "bigint"
+        return c if whole else F.when(inside, c.cast(name))
     return c.try_cast(name)
 
 

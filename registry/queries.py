@@ -81,7 +81,7 @@ def convert_arrays(spark, sf):
 
 @query
 def normalise_numbers(spark, sf):
-    rows = table(spark, sf, "lineitem")
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
     number = rows.select(
         "l_orderkey",
         "l_linenumber",
@@ -100,8 +100,7 @@ def normalise_numbers(spark, sf):
 
 def _checked(spark, sf, schema, checks):
     texts = extract.extract(messages(spark, sf), schema.fields, keep=["event_id"])
-    error = quality.first_error(checks)
-    found = texts.select("event_id", error.alias("e"))
+    found = texts.select("event_id", quality.first_error(checks).alias("e"))
     return found.select("event_id", F.col("e.code").alias("code"), F.col("e.message").alias("message"))
 
 
