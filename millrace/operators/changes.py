@@ -147,4 +147,4 @@ def upsert_patch(
 
 def delete_by_key(target: DataFrame, deletes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is not among the deleted ones; unknown keys do no harm."""
-    return target.join(deletes.select(*keys), list(keys), "left_anti")
+    return target.join(deletes.select(*keys).distinct(), list(keys), "left_anti")

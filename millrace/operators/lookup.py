@@ -28,7 +28,7 @@ def scan_limit(df: DataFrame, columns: Sequence[str] | None, n: int, key: str) -
 def get_rows(df: DataFrame, key: str, keys: DataFrame | object) -> DataFrame:
     """The row of one key, or the rows of a frame of keys."""
     if isinstance(keys, DataFrame):
-        return df.join(keys.select(key), key, "left_semi")
+        return df.join(keys.select(key).distinct(), key, "left_semi")
     return df.where(F.col(key) == F.lit(keys))
 
 

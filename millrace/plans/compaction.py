@@ -12,7 +12,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..session import written
+from ..session import scratch_scope, written
 from ..sources.files import list_files, plain_path
 from ..sources.fs import Files
 from ..spec import RollingPolicy
@@ -60,9 +60,14 @@ def compact(
     """
     fs = Files(spark, path)
     root = fs.qualified(path)
-    work = f"{root}/{WORK}"
-    commit.recover(spark, fs, work)
-    now = now or datetime.now(timezone.utc)
+    commit.recover(spark, fs, f"{root}/{WORK}")
+    with scratch_scope(spark):
+        return _merge_files(spark, fs, root, fmt, policy, now or datetime.now(timezone.utc))
+
+
+def _merge_files(
+    spark: SparkSession, fs: Files, root: str, fmt: str, policy: RollingPolicy, now: datetime
+) -> int:
     planned = plan_groups(list_files(spark, root, NEW_FILES), policy, now)
     planned = written(planned, "compaction-plan")
     piece_bytes = max(policy.max_part_bytes, 1 << 20)
@@ -75,7 +80,7 @@ def compact(
     if count == 0:
         return 0
     name = uuid.uuid4().hex
-    unit = f"{work}/{name}"
+    unit = f"{root}/{WORK}/{name}"
     inputs = planned.join(groups, ["dir", "grp"]).select(F.col("path").alias(FILE), GROUP)
 
     rows = spark.read.format(fmt).load(root)
@@ -133,6 +138,13 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return rows.select(*loaded.columns)
 
 
+def is_committed(spark: SparkSession, table_path: str, tag: str) -> bool:
+    """Whether a tag's manifest is published; its files may still have to be moved, so
+    nothing may be staged for it again."""
+    fs = Files(spark, table_path)
+    return commit.is_published(fs, f"{fs.qualified(table_path)}/_commits/{tag}")
+
+
 def commit_staged(
     spark: SparkSession, stage: str, table_path: str, tag: str, fmt: str = "parquet"
 ) -> None:

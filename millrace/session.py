@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,9 +37,27 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+_scope: ContextVar[str | None] = ContextVar("scratch_scope", default=None)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder."""
-    return f"{shared_dir(spark)}/millrace/{label}-{uuid.uuid4().hex}"
+    folder = _scope.get() or f"{shared_dir(spark)}/millrace"
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Intermediate tables written inside are removed at the end; what is read from them
+    has to be used up before."""
+    folder = scratch_path(spark, "scope")
+    token = _scope.set(folder)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

@@ -16,7 +16,7 @@ from ..functions.convert import SPARK_TYPES
 from ..operators import changes
 from ..operators.layout import single_writer, spread_for_write
 from ..operators.shape import ROW_KEY, bulk_batches, bulk_lines, bulk_payload, text_lines, to_document, to_graph, with_row_key
-from ..plans.compaction import commit_staged, forget_commits
+from ..plans.compaction import commit_staged, forget_commits, is_committed
 from ..spec import MESSAGE_BREAK, OBJECT_KEY, STREAMING_ERROR, SchemaSpec, SinkSpec
 from .keyed import KeyedTable
 from .tables import conform, describe_table
@@ -67,13 +67,15 @@ def table_sink(spark: SparkSession, spec: SinkSpec, schema: SchemaSpec) -> Sink:
     parts = list(info.partition_columns)
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        stage = f"{info.location}/_stage/{batch_tag(batch_id)}"
-        fitted = conform(rows, info.columns)
-        if info.format == "text":
-            write_text(fitted, stage, [c for c, _ in info.data_columns], info.delimiter, parts)
-        else:
-            stage_rows(fitted, stage, info.format, parts)
-        commit_staged(spark, stage, info.location, batch_tag(batch_id), info.format)
+        tag = batch_tag(batch_id)
+        stage = f"{info.location}/_stage/{tag}"
+        if not is_committed(spark, info.location, tag):
+            fitted = conform(rows, info.columns)
+            if info.format == "text":
+                write_text(fitted, stage, [c for c, _ in info.data_columns], info.delimiter, parts)
+            else:
+                stage_rows(fitted, stage, info.format, parts)
+        commit_staged(spark, stage, info.location, tag, info.format)
         forget_commits(spark, info.location)
         spark.catalog.refreshTable(name)
 

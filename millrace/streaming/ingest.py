@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 
@@ -125,20 +126,21 @@ class Ingest:
             .start()
         )
 
-    def run(self, messages: DataFrame | None = None, available_now: bool = False) -> None:
-        """Run to the end, starting again after a failure as often as the job allows. The
-        last failure is written to the error log."""
+    def run(
+        self, messages: DataFrame | None = None, available_now: bool = False, pause_seconds: float = 10
+    ) -> None:
+        """Run to the end, starting again after a failure and a pause as often as the job
+        allows. The last failure is written to the error log."""
         for attempt in range(self.job.task.restarts + 1):
-            query = None
             try:
-                query = self.start(messages, available_now)
-                query.awaitTermination()
+                self.start(messages, available_now).awaitTermination()
                 return
             except Exception as failure:
                 over = "DIRTY_COUNT_ERROR" in str(failure)
                 if over or attempt == self.job.task.restarts:
                     self._log(failure)
                     raise
+                time.sleep(pause_seconds)
 
     def _log(self, failure: Exception) -> None:
         if not self.job.log_path:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators.quality import DirtyLimitExceeded
+from millrace.plans import commit
 from millrace.session import scratch_path
 from millrace.sources import tables
 from millrace.sources.readers import number_lines, read_source, read_text_stream
@@ -184,6 +185,42 @@ def test_table_sink_and_upkeep(spark, fmt):
     tables.drop_table(spark, name)
 
 
+def test_table_sink_taken_up_between_publishing_and_moving(spark, monkeypatch):
+    tables.drop_table(spark, "broken_off")
+    tables.ensure_table(spark, "broken_off", "object_key string, age bigint")
+    _, text = config(spark)
+    schema = JobSpec.from_config(text).schema
+    write = build_sink(spark, SinkSpec("HIVE", {"table": "broken_off"}), schema)
+    rows = ingest_rows(batch(spark, *[message(str(i), age=i) for i in range(9)]), schema).repartition(3)
+
+    def fails(*_args, **_kw):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(commit, "finish", fails)
+        with pytest.raises(OSError):
+            write(rows, 5)
+    for _ in range(2):
+        write(rows.repartition(2), 5)
+        assert spark.table("broken_off").agg(F.count("age"), F.sum("age")).first()[:] == (9, 36)
+    tables.drop_table(spark, "broken_off")
+
+
+def test_job_starts_again_after_a_failure(spark):
+    base, text = config(spark)
+    put(spark, base, message("1"), message("2"))
+    tries = []
+
+    def unsteady(rows, n):
+        tries.append(rows.count())
+        if len(tries) == 1:
+            raise OSError("once")
+
+    work = Ingest(spark, JobSpec.from_config(text), [unsteady], clock=lambda: START)
+    work.run(available_now=True, pause_seconds=0)
+    assert tries == [2, 2] and work.ledger.totals().consumed == 2
+
+
 def test_user_sinks(spark):
     seen = []
     register_sink("mine", lambda s, spec, schema: lambda rows, n: seen.append((spec.options["x"], rows.count(), n)))
