@@ -17,7 +17,7 @@ def _code_units(c: Column) -> Column:
             points,
             lambda p: F.when(
                 p > 0xFFFF,
-                F.array(F.lit(0xD800) + F.floor((p - 0x10000) / 1024), F.lit(0xDC00) + (p - 0x10000) % 1024),
+                F.array(F.lit(0xD800) + run_of(p - 0x10000, 1024), F.lit(0xDC00) + (p - 0x10000) % 1024),
             ).otherwise(F.array(p)),
         )
     )
@@ -75,6 +75,11 @@ def region_of(key: Column, n_logic: int = LOGIC_PARTITIONS, n_physical: int = 16
     return F.transform(F.array(key), lambda k: F.size(F.filter(bounds, lambda b: b <= k))).getItem(0)
 
 
+def run_of(c: Column, n: int) -> Column:
+    """Which run of `n` a whole number from 0 falls into, without going through doubles."""
+    return F.call_function("div", c, F.lit(n))
+
+
 def stable_salt(key: Column, n: int) -> Column:
     """A repeatable salt in 0..n-1."""
     return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")

@@ -12,10 +12,13 @@ WHITE_SPACE = (
 )
 
 
+_VISIBLE = "[^" + "".join(f"\\x{{{ord(ch):x}}}" for ch in WHITE_SPACE) + "]"
+
+
 def is_blank(c: Column) -> Column:
     """Null, empty or white space only; never null itself."""
     # The search ends at the first character that is not white space.
-    return ~F.coalesce(c.rlike(f"[^{WHITE_SPACE}]"), F.lit(False))
+    return ~F.coalesce(c.rlike(_VISIBLE), F.lit(False))
 
 
 def has_slash(c: Column) -> Column:

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import cells
-from ..functions.keys import row_key, stable_salt
+from ..functions.keys import row_key, run_of, stable_salt
 from ..spec import FROM_KEY, OBJECT_KEY, TO_KEY
 
 ROW_KEY = "_row_key"
@@ -97,7 +97,7 @@ def bulk_batches(
     salt = stable_salt(F.concat_ws("\x1f", *keys), salts) if salt is None else salt
     salted = df.withColumn("salt", salt)
     place = F.row_number().over(Window.partitionBy("salt").orderBy(*keys))
-    return salted.withColumn("batch", F.floor((place - 1) / n))
+    return salted.withColumn("batch", run_of(place - 1, n))
 
 
 def bulk_payload(batches: DataFrame, keys: Sequence[str], lines: str = "lines") -> DataFrame:
@@ -115,7 +115,7 @@ def collect_batch(df: DataFrame, keys: Sequence[str], seq: str, value: str, n: i
     `seq` is a unique number such as an offset.
     """
     pairs = F.array_sort(F.collect_list(F.struct(seq, value)))
-    return df.groupBy(*keys, F.floor(F.col(seq) / n).alias("buffer")).agg(
+    return df.groupBy(*keys, run_of(F.col(seq), n).alias("buffer")).agg(
         F.transform(pairs, lambda p: p.getField(value)).alias("rows")
     )
 

@@ -12,6 +12,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.keys import run_of
 from ..session import scratch_scope, written
 from ..sources.files import list_files, plain_path
 from ..sources.fs import Files
@@ -92,7 +93,7 @@ def _merge_files(
     chosen = rows.where(meta.getField("file_name").like("part-%")).select(
         *data_columns,
         plain_path(meta.getField("file_path")).alias(FILE),
-        F.floor(meta.getField("file_block_start") / piece_bytes).alias(PIECE),
+        run_of(meta.getField("file_block_start"), piece_bytes).alias(PIECE),
     )
     staged = chosen.join(inputs, FILE).drop(FILE).repartition(max(count, pieces), GROUP, PIECE).drop(PIECE)
     staged.write.format(fmt).partitionBy(GROUP).save(f"{unit}/data")

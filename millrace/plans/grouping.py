@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ..functions.keys import run_of
 from .sequences import BLOCK, ROWS_PER_BLOCK, number_rows, ordered_blocks
 
 
@@ -178,4 +179,4 @@ def chunk_files(
 ) -> DataFrame:
     """Adds `chunk_no`: at most `n` files of a directory share one."""
     numbered = number_rows(files, directory, order, "_file_no", rows_per_block)
-    return numbered.withColumn("chunk_no", F.floor(F.col("_file_no") / n)).drop("_file_no")
+    return numbered.withColumn("chunk_no", run_of(F.col("_file_no"), n)).drop("_file_no")

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.keys import run_of
+
 
 def tumbling_window(
     df: DataFrame,
@@ -25,7 +27,7 @@ def tumbling_window(
     if watermark:
         df = df.withWatermark(ts, watermark)
     pairs = F.array_sort(F.collect_list(F.struct(seq, value)))
-    grouped = df.groupBy(F.window(ts, length), *keys, F.floor(F.col(seq) / rows_per_list).alias("part"))
+    grouped = df.groupBy(F.window(ts, length), *keys, run_of(F.col(seq), rows_per_list).alias("part"))
     return grouped.agg(F.transform(pairs, lambda p: p.getField(value)).alias("rows")).select(
         F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *keys, "part", "rows"
     )

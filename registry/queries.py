@@ -443,7 +443,7 @@ def upsert_replace(spark, sf):
 
 @query
 def upsert_patch(spark, sf):
-    log = _log(spark, sf, F.floor(F.col("event_id") / 4)).withColumns(
+    log = _log(spark, sf, keys.run_of(F.col("event_id"), 4)).withColumns(
         {
             "c_acctbal": F.when(F.col("op") == "UPDATE", F.col("c_acctbal")),
             "c_mktsegment": F.when(F.col("op") == "UPSERT", F.col("c_mktsegment")),
@@ -463,13 +463,13 @@ def delete_by_key(spark, sf):
 
 @query
 def apply_sequence(spark, sf):
-    log = _log(spark, sf, F.floor(F.col("event_id") / 2))
+    log = _log(spark, sf, keys.run_of(F.col("event_id"), 2))
     return changes.apply_batch(_target(spark, sf), log, ["c_custkey"], "event_id", _is_delete())
 
 
 @query
 def apply_delete_first(spark, sf):
-    log = _log(spark, sf, F.floor(F.col("event_id") / 2))
+    log = _log(spark, sf, keys.run_of(F.col("event_id"), 2))
     return changes.apply_batch(
         _target(spark, sf), log, ["c_custkey"], "event_id", _is_delete(), order="delete_first"
     )
@@ -481,7 +481,7 @@ def keyed_table(spark, sf):
     start = _target(spark, sf)
     stored = KeyedTable(spark, scratch_path(spark, "keyed"), start.schema, ["c_custkey"], buckets=8)
     stored.apply(start.withColumn("event_id", F.lit(0)), "event_id", 0)
-    log = _log(spark, sf, F.floor(F.col("event_id") / 2))
+    log = _log(spark, sf, keys.run_of(F.col("event_id"), 2))
     third = log.count() // 3
     bounds = [(None, third), (third, 2 * third), (third, 2 * third), (2 * third, None)]
     for number, (low, high) in zip((1, 2, 2, 3), bounds):
