@@ -17,6 +17,8 @@ from ..functions.keys import run_of
 from .sequences import BLOCK, ROWS_PER_BLOCK, number_rows, ordered_blocks
 
 
+MOST_ROWS_PER_BLOCK = 2_000_000
+
 # The helpers below travel to the workers with the functions that use them, so that
 # these need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -82,6 +84,7 @@ def plan_by_size(
     order: Sequence[str] = ("mtime", "path"),
     length: str = "length",
     rows_per_block: int = ROWS_PER_BLOCK,
+    groups_per_block: int = 10,
 ) -> DataFrame:
     """Adds `group_no`: files in order are added until their total reaches `max_bytes`,
     then the next group starts. The files of a last, unfilled group get null, as do all
@@ -89,12 +92,17 @@ def plan_by_size(
 
     The groups of a directory follow from one another, yet no directory is gone through
     by one task: blocks of files say what they make of any total carried in, those
-    small answers are chained, and each block is then grouped by itself.
+    small answers are chained, and each block is then grouped by itself. An answer has
+    as many entries as there are files in a block's first group, so blocks of very small
+    files are made large enough for `groups_per_block` groups.
     """
     if max_bytes <= 0:
         return files.withColumn("group_no", F.lit(None).cast("bigint"))
     directory, order = list(directory), list(order)
-    blocks = ordered_blocks(files, directory, order, rows_per_block)
+    count, total = files.agg(F.count(F.lit(1)), F.sum(length)).first()
+    files_per_group = max_bytes * count / (total or 1)
+    rows_per_block = max(rows_per_block, min(int(groups_per_block * files_per_group), MOST_ROWS_PER_BLOCK))
+    blocks = ordered_blocks(files, directory, order, rows_per_block, rows=count)
     key_fields = [T.StructField(BLOCK, T.IntegerType())] + [blocks.schema[d] for d in directory]
     keys = [BLOCK, *directory]
     columns = [*files.columns, "group_no"]
@@ -147,7 +155,12 @@ def plan_by_size(
         return rows[columns]
 
     schema = T.StructType([*files.schema.fields, T.StructField("group_no", T.LongType())])
-    return blocks.join(starts, keys).groupBy(*keys).applyInPandas(number, schema)
+    same = None
+    for at, key in enumerate(keys):
+        starts = starts.withColumnRenamed(key, f"_key{at}")
+        equal = blocks[key].eqNullSafe(F.col(f"_key{at}"))
+        same = equal if same is None else same & equal
+    return blocks.join(starts, same).groupBy(*keys).applyInPandas(number, schema)
 
 
 def plan_by_age(

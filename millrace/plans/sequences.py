@@ -19,14 +19,19 @@ ROWS_PER_BLOCK = 100_000
 
 
 def ordered_blocks(
-    df: DataFrame, group: Sequence[str], order: Sequence[str], rows_per_block: int = ROWS_PER_BLOCK
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str],
+    rows_per_block: int = ROWS_PER_BLOCK,
+    rows: int | None = None,
 ) -> DataFrame:
     """Rows with a `_block` number that rises with (group, order).
 
     `order` is unique within a group, so blocks are even. They are written once: range
-    bounds come from a sample, and every use has to see the same ones.
+    bounds come from a sample, and every use has to see the same ones. `rows` is their
+    number, if known.
     """
-    blocks = max(1, math.ceil(df.count() / rows_per_block))
+    blocks = max(1, math.ceil((df.count() if rows is None else rows) / rows_per_block))
     ranged = df.repartitionByRange(blocks, *group, *order) if blocks > 1 else df.coalesce(1)
     return written(ranged.withColumn(BLOCK, F.spark_partition_id()), "blocks")
 

@@ -33,14 +33,15 @@ def greedy(lengths, limit):
 def test_size_groups_match_one_by_one(spark, seed, limit, block):
     draw = np.random.default_rng(seed)
     data, want = [], {}
-    for directory, n in (("hot", 150), ("b", 20), ("c", 1)):
+    for directory, n in (("hot", 150), ("b", 20), ("c", 1), (None, 30)):
         lengths = [int(v) for v in draw.integers(0, 60, n)]
         paths = [f"{directory}{i:04d}" for i in range(n)]
         data += [(directory, p, i // 4, v) for i, (p, v) in enumerate(zip(paths, lengths))]
         want.update(zip(paths, greedy(lengths, limit)))
     frame = spark.createDataFrame(data, "dir string, path string, mtime int, length bigint").repartition(5)
-    planned = grouping.plan_by_size(frame, limit, rows_per_block=block)
-    assert {r["path"]: r["group_no"] for r in planned.collect()} == want
+    for groups in (0, 2):
+        planned = grouping.plan_by_size(frame, limit, rows_per_block=block, groups_per_block=groups)
+        assert {r["path"]: r["group_no"] for r in planned.collect()} == want
 
 
 def test_block_summary_agrees_with_every_carried_total():
