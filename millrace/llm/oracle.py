@@ -38,3 +38,50 @@ SELECT doc_id, size, total AS source_size, target,
 FROM (SELECT *, (whole + CASE WHEN 2 * earlier + size <= 2 * (target - whole * total) THEN 1 ELSE 0 END)::BIGINT
         AS times FROM passed)
 """
+
+ORACLE["op2_block_neighbours"] = """
+WITH rows AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0),
+queries AS (SELECT vec_id, min(v) AS v FROM rows WHERE vec_id % 20 = 0 GROUP BY vec_id),
+pairs AS (
+  SELECT q.vec_id AS query_id, r.vec_id, list_inner_product(q.v, r.v) AS score
+  FROM queries q JOIN rows r ON q.vec_id <> r.vec_id AND len(q.v) = len(r.v))
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
+FROM pairs QUALIFY rank <= 20
+"""
+
+ORACLE["op10_kd_top_k"] = """
+WITH rows AS (
+  SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+queries AS (SELECT vec_id, min(v) AS v FROM rows WHERE vec_id % 50 = 0 GROUP BY vec_id),
+pairs AS (
+  SELECT q.vec_id AS query_id, r.vec_id, list_inner_product(q.v, r.v)::BIGINT AS score
+  FROM queries q JOIN rows r ON q.vec_id <> r.vec_id AND len(q.v) = len(r.v))
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
+FROM pairs QUALIFY rank <= 5
+"""
+
+# The given pages hold no canonical links or redirects (a test has them), so no alias inherits a block here.
+ORACLE["op9_url_filter"] = r"""
+WITH pages_at AS (
+  SELECT page_id,
+         translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+rules(verdict, host, path) AS (
+  VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+         ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+fits AS (
+  SELECT p.page_id, p.host, p.path, max_by(r.host || r.path, len(r.host || r.path)) AS rule,
+         max_by(r.verdict, len(r.host || r.path)) AS verdict
+  FROM pages_at p LEFT JOIN rules r
+    ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+  GROUP BY ALL)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fits
+"""

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, sharding, urls
+from . import bytepair, langid, mixing, neighbours, sharding, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -72,3 +73,40 @@ def op7_shard_slots(spark, sf):
 def op9_url_filter(spark, sf):
     """Verdicts on pages by rule, else by their aliases."""
     return urls.judge(table(spark, sf, "pages"), RULES).drop("alias_root")
+
+
+@query
+def op2_block_neighbours(spark, sf):
+    """The 20 nearest of every 20th vector by inner product."""
+    return neighbours.nearest(table(spark, sf, "embeddings"), F.col("_id") % 20 == 0, 20)
+
+
+@query
+def op10_kd_top_k(spark, sf):
+    """The 5 largest inner products of every 50th vector in whole numbers."""
+    vectors = topk.whole_numbers(table(spark, sf, "embeddings"))
+    found = topk.top_k(vectors, F.col("_id") % 50 == 0, 5)
+    return found.withColumn("score", F.col("score").cast("long"))
+
+
+@query
+def op8_byte_pairs(spark, sf):
+    """Token ids of every text and their decoding, as digests."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = bytepair.encode(table(spark, sf, "documents").select("doc_id", "text"), path)
+    decoded = bytepair.decode(encoded.select("doc_id", "ids"), path)
+    return decoded.select("doc_id", *[c.alias(n) for n, c in bytepair.digests(decoded).items()])
+
+
+def held_out(ident):
+    """Documents that no model learns from: crc32 of the id as text divisible by 5."""
+    return F.crc32(F.coalesce(F.col(ident).cast("string"), F.lit("")).cast("binary")) % 5 == 0
+
+
+@query
+def op4_language(spark, sf):
+    """The language of every text."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    model = langid.train(docs, ~held_out("doc_id"))
+    found = langid.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
