@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import chain
 
 import numpy as np
@@ -47,3 +48,15 @@ def few_rows(batch: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterato
         end = max(start + 1, int(np.searchsorted(total, done + most, "right")))
         yield batch.slice(start, end - start)
         start = end
+
+
+@contextmanager
+def few_records(spark, most: int = 500):
+    """Smaller Arrow batches for what is run inside, where a row may hold whole texts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

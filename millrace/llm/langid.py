@@ -144,8 +144,12 @@ def fitted(rows: list[tuple[str, np.ndarray, np.ndarray]], idf: np.ndarray, epoc
     w = leader.weights(slice(None))
     logits = np.array([x @ w[at] for at, x, _ in kept_back])
     truth = np.array([label for *_, label in kept_back])
+    # Smoothed targets keep the temperature above 0 where the documents kept back are all right.
+    rest = 1 / (len(truth) + 2)
+    aim = np.full(logits.shape, rest / max(1, len(languages) - 1))
+    aim[np.arange(len(truth)), truth] = 1 - rest
     choices = np.exp(np.linspace(np.log(0.05), np.log(20), 121))
-    loss = [-np.log(softmax(logits / t)[np.arange(len(truth)), truth] + 1e-12).mean() for t in choices]
+    loss = [-(aim * np.log(softmax(logits / t) + 1e-12)).sum(axis=1).mean() for t in choices]
     full = w[:-1] * (SCALE * idf)[:, None]
     used = np.flatnonzero(np.any(full != 0, axis=1))
     row_of = np.zeros(len(idf), np.int32)

@@ -106,11 +106,15 @@ def mix_plan(
     return joined.withColumn("_times", F.col("_whole") + once_more.cast("long"))
 
 
-def repeat_documents(docs: DataFrame, ident: str = "doc_id", **options) -> DataFrame:
-    """The mix itself: every document as often as it is taken, with the columns it came with.
-    Rows of one id share one decision."""
-    plan = mix_plan(docs, ident, **options)
-    times = plan.groupBy(F.col("_id").alias("_mix_id")).agg(F.max("_times").alias("_mix_times")).where("_mix_times > 0")
-    copies = docs.join(times, docs[ident].eqNullSafe(F.col("_mix_id")))
-    copies = copies.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_times"))))
+def repeat_documents(docs: DataFrame, ident: str = "doc_id", source: str = "source", **options) -> DataFrame:
+    """The mix itself: every document as often as it is taken, with the columns it came with. Rows
+    that are equal in id, source and size share one decision."""
+    plan = mix_plan(docs, ident, source, **options)
+    keys = [F.col("_id"), F.when(~F.col("_null"), F.col("_source")), F.col("_size")]
+    named = [k.alias(f"_mix_key{i}") for i, k in enumerate(keys)]
+    times = plan.groupBy(*named).agg(F.max("_times").alias("_mix_times")).where("_mix_times > 0")
+    size = options.get("size")
+    own = [docs[ident], docs[source].cast("string"), word_count(docs["text"]) if size is None else size]
+    same = own[0].eqNullSafe(F.col("_mix_key0")) & own[1].eqNullSafe(F.col("_mix_key1")) & (own[2] == F.col("_mix_key2"))
+    copies = docs.join(times, same).withColumn("_mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_times"))))
     return copies.select(*[docs[f"`{c}`"] for c in docs.columns])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bytepair, langid, mixing, neighbours, sharding, topk, urls
+from . import bytepair, html_text, langid, mixing, neardup, neighbours, quality, sharding, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -110,3 +110,27 @@ def op4_language(spark, sf):
     model = langid.train(docs, ~held_out("doc_id"))
     found = langid.predict(docs.select("doc_id", "text"), model)
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op5_quality(spark, sf):
+    """The quality of every document, judged by its content and its metadata."""
+    docs = table(spark, sf, "documents")
+    model = quality.co_train(docs, table(spark, sf, "labels"))
+    found = quality.score(docs, model)
+    kept = (F.col("quality_score") >= 0.5).alias("keep")
+    return found.select("doc_id", "quality_score", "quality_score_content", "quality_score_metadata", kept)
+
+
+@query
+def op6_main_text(spark, sf):
+    """The main text of every page."""
+    pages = table(spark, sf, "pages").select("page_id", "url", "html")
+    found = html_text.extract(pages, html_text.learn(pages))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op1_order_minhash(spark, sf):
+    """The near-duplicate group of every document."""
+    return neardup.groups(table(spark, sf, "documents"))
