@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -29,20 +30,49 @@ def local_session(cores: str = "*", app: str = "millrace", **conf: str) -> Spark
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where it names none."""
+    """The shared folder the cluster names. Where none is named, one process gets a temporary folder;
+    on a cluster other machines could not read that, so it is an error there."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="millrace-")
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+_roots: dict[str, str] = {}
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the intermediate tables of this application; also done when Python ends with the
+    session still open."""
+    path = _roots.pop(spark.sparkContext.applicationId, None)
+    if path:
+        _remove(spark, path)
+
+
+def _root(spark: SparkSession) -> str:
+    """The folder of this application's intermediate tables."""
+    ident = spark.sparkContext.applicationId
+    if ident not in _roots:
+        _roots[ident] = f"{shared_dir(spark)}/millrace/{ident}"
+        atexit.register(lambda: spark.sparkContext._jsc and release(spark))
+    return _roots[ident]
+
+
 _scope: ContextVar[str | None] = ContextVar("scratch_scope", default=None)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder."""
-    folder = _scope.get() or f"{shared_dir(spark)}/millrace"
+    folder = _scope.get() or _root(spark)
     return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
@@ -56,8 +86,7 @@ def scratch_scope(spark: SparkSession):
         yield
     finally:
         _scope.reset(token)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _remove(spark, folder)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
