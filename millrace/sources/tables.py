@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import islice
@@ -50,8 +51,9 @@ def describe_table(spark: SparkSession, table: str) -> TableInfo:
     for name in ("field.delim", "delimiter", "sep"):
         _, found, rest = properties.partition(f"{name}=")
         if found and rest:
-            # A comma also parts the properties, so the delimiter is taken by its length.
-            delimiter = rest[0]
+            # A comma or bracket also ends a property, so the delimiter's first character is taken as it is.
+            tail = re.match(r"(.[^,\]]*)", rest, re.S).group(1)
+            delimiter = tail.encode("latin-1", "backslashreplace").decode("unicode_escape") if "\\" in tail else tail
             break
     return TableInfo(
         name=table,
@@ -102,6 +104,18 @@ def registered_partitions(spark: SparkSession, info: TableInfo) -> DataFrame:
     )
 
 
+def matching_partitions(spark: SparkSession, table: str, values: dict[str, object]) -> DataFrame:
+    """The registered partitions of a table that have the given values, one row each."""
+    info = describe_table(spark, table)
+    unknown = set(values) - set(info.partition_columns)
+    if unknown:
+        raise ValueError(f"not partition columns of {table}: {sorted(unknown)}")
+    found = registered_partitions(spark, info)
+    for key, value in values.items():
+        found = found.where(F.col(key).eqNullSafe(F.lit(value).cast("string")))
+    return found
+
+
 def add_partitions(spark: SparkSession, table: str, batch: int = 200) -> int:
     """Register partition directories that the catalog does not know yet; how many."""
     info = describe_table(spark, table)
@@ -150,7 +164,10 @@ def fit(c: Column, source: T.DataType, target: str | T.DataType) -> Column:
     if name == "binary":
         return F.encode(c.cast("string"), "UTF-8") if not isinstance(source, T.BinaryType) else c
     if name.startswith(("varchar", "char")):
-        return c.cast("string")
+        # A value longer than the type promises does not fit.
+        length = int(re.search(r"\d+", name).group())
+        text = c.cast("string")
+        return F.when(F.char_length(text) <= length, text)
     if isinstance(source, T.StringType) and name.startswith(("array", "map", "struct")):
         return F.from_json(c, name)
     if isinstance(source, (T.ArrayType, T.MapType, T.StructType)) and name == "string":

@@ -116,6 +116,55 @@ def test_compaction_by_age_in_limited_groups(spark):
     assert compaction.compact(spark, path, policy=BY_AGE, now=LATER) == 0
 
 
+def test_compaction_keeps_columns_that_only_some_files_have(spark):
+    path = scratch_path(spark, "evolved")
+    spark.range(10).selectExpr("id AS a", "id AS b").coalesce(1).write.parquet(path)
+    spark.range(10).selectExpr("id AS a", "id AS b", "id AS c").coalesce(1).write.mode("append").parquet(path)
+    assert compaction.compact(spark, path, now=LATER) == 1
+    assert spark.read.parquet(path).agg(F.count("a"), F.count("c"), F.sum("c")).first()[:] == (20, 10, 45)
+    odd = scratch_path(spark, "conflict")
+    spark.range(9).selectExpr("id AS a").coalesce(1).write.parquet(odd)
+    spark.range(9).selectExpr("cast(id AS string) AS a").coalesce(1).write.mode("append").parquet(odd)
+    with pytest.raises(Exception, match="(?i)merg|type"):
+        compaction.compact(spark, odd, now=LATER)
+    assert files.list_files(spark, odd, "*.parquet").count() == 2
+
+
+def test_compaction_reads_planned_files_only(spark, monkeypatch):
+    path = scratch_path(spark, "planned")
+    spark.range(500_000).selectExpr("id", "uuid() AS t").coalesce(1).write.parquet(path)
+    for _ in range(3):
+        spark.range(10).selectExpr("id", "'x' AS t").coalesce(1).write.mode("append").parquet(path)
+    seen = []
+    reads = compaction.planned_rows
+
+    def watched(*args):
+        found = reads(*args)
+        seen.extend(found.inputFiles())
+        return found
+
+    monkeypatch.setattr(compaction, "planned_rows", watched)
+    policy = RollingPolicy(enabled=True, max_part_bytes=1 << 20, rollover_seconds=1, idle_seconds=1)
+    large = files.list_files(spark, path).where("length > 1000000").first()["path"].rsplit("/", 1)[1]
+    compaction.compact(spark, path, policy=policy, now=LATER)
+    first = [f for f in seen if large in f]
+    seen.clear()
+    spark.range(10).selectExpr("id", "'x' AS t").coalesce(2).write.mode("append").parquet(path)
+    assert compaction.compact(spark, path, policy=policy, now=LATER) >= 1
+    assert len(first) <= 1 and not [f for f in seen if large in f]
+    assert spark.read.parquet(path).count() == 500_040
+
+
+def test_small_merged_files_are_taken_up_by_size(spark):
+    path = scratch_path(spark, "ticks")
+    policy = RollingPolicy(enabled=True, max_part_bytes=4000, rollover_seconds=1, idle_seconds=1)
+    for tick in range(6):
+        spark.range(tick * 100, tick * 100 + 100).repartition(2).write.mode("append").parquet(path)
+        compaction.compact(spark, path, policy=policy, now=LATER)
+    assert spark.read.parquet(path).agg(F.count("id"), F.sum("id")).first()[:] == (600, 600 * 599 // 2)
+    assert files.list_files(spark, path, "merged-*").count() < 6
+
+
 def test_compaction_of_a_table_without_partitions(spark):
     path = scratch_path(spark, "flat")
     spark.range(100).repartition(6).write.parquet(path)
@@ -193,8 +242,10 @@ def test_commit_staged_is_done_once(spark):
     data.write.partitionBy("p").parquet(stage)
     compaction.commit_staged(spark, stage, target, "batch000000000002")
     assert spark.read.parquet(target).count() == 100
-    compaction.forget_commits(spark, target, keep=1)
-    assert Files(spark, target).names(f"{target}/_commits") == ["batch000000000002"]
+    compaction.forget_commits(spark, target)
+    assert len(Files(spark, target).names(f"{target}/_commits")) == 2
+    compaction.forget_commits(spark, target, keep_seconds=-5)
+    assert Files(spark, target).names(f"{target}/_commits") == []
 
 
 def test_partition_directories(spark):
