@@ -52,9 +52,9 @@ def partition_hash(c: Column, logic_partitions: int = LOGIC_PARTITIONS) -> Colum
     )
 
 
-def row_key(c: Column) -> Column:
+def row_key(c: Column, logic_partitions: int = LOGIC_PARTITIONS) -> Column:
     """`<3 digits>#<key>`: neighbouring keys land in different regions."""
-    return F.concat(partition_hash(c), F.lit("#"), c)
+    return F.concat(partition_hash(c, logic_partitions), F.lit("#"), c)
 
 
 def split_points(n_logic: int = LOGIC_PARTITIONS, n_physical: int = 16) -> list[str]:

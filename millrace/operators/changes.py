@@ -40,13 +40,15 @@ def latest_per_key(
     return newest.select(*keys, *[F.col("_row").getField(c).alias(c) for c in rest])
 
 
-def _merge(target: DataFrame, changed: DataFrame, keys: Sequence[str], pick, present: Column) -> DataFrame:
-    """Full outer merge of a table with one row per changed key."""
-    changed = changed.withColumn("_changed", F.lit(True))
-    stored = target.withColumn("_stored", F.lit(True))
-    joined = stored.alias("t").join(changed.alias("c"), list(keys), "full_outer")
-    columns = [F.col(k) if k in keys else pick(k).alias(k) for k in target.columns]
-    return joined.where(present).select(*columns)
+def _replaced(target: DataFrame, changes: DataFrame, changed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Stored rows of keys that `changes` does not name, and the rows that changed keys end with.
+
+    The stored side is only ever the left of an anti join, so that Spark may broadcast a small
+    batch's keys and leave the stored rows where they are.
+    """
+    named = changes.select(*keys).distinct()
+    untouched = target.join(named, list(keys), "left_anti").select(*target.columns)
+    return untouched.union(changed.select(*target.columns))
 
 
 def upsert_replace(
@@ -62,21 +64,21 @@ def upsert_replace(
     return apply_batch(target, changes, keys, seq, delete, order="sequence")
 
 
-def apply_batch(
-    target: DataFrame,
+def latest_changes(
     changes: DataFrame,
+    columns: Sequence[str],
     keys: Sequence[str],
     seq: str,
     delete: Column | None = None,
     order: str = "sequence",
 ) -> DataFrame:
-    """A batch of whole-row changes applied to a table.
+    """The change of every key that counts, with `_gone` where it deletes.
 
-    `sequence`: the newest change of each key wins. `delete_first`: all deletes come
-    before all upserts, so a key with any upsert in the batch stays.
+    `sequence`: the newest change of each key. `delete_first`: all deletes come before all upserts, so a
+    key with any upsert in the batch stays.
     """
     gone = F.lit(False) if delete is None else F.coalesce(delete, F.lit(False))
-    values = [c for c in target.columns if c not in keys]
+    values = [c for c in columns if c not in keys]
     flagged = changes.select(*keys, F.col(seq).alias("_seq"), gone.alias("_gone"), *values)
     if order == "sequence":
         newest = latest_per_key(flagged, keys, "_seq")
@@ -85,31 +87,34 @@ def apply_batch(
         newest = latest_per_key(flagged, keys, F.struct(~F.col("_gone"), F.col("_seq")))
     else:
         raise ValueError(f"order [{order}] is neither sequence nor delete_first")
-    changed = F.coalesce(F.col("c._changed"), F.lit(False))
-    return _merge(
-        target,
-        newest.drop("_seq"),
-        keys,
-        lambda name: F.when(changed, F.col(f"c.{name}")).otherwise(F.col(f"t.{name}")),
-        present=~F.coalesce(F.col("c._gone"), F.lit(False)),
-    )
+    return newest.drop("_seq")
 
 
-def upsert_patch(
+def apply_batch(
     target: DataFrame,
     changes: DataFrame,
     keys: Sequence[str],
     seq: str,
     delete: Column | None = None,
+    order: str = "sequence",
+) -> DataFrame:
+    """A batch of whole-row changes applied to a table; `order` as for `latest_changes`."""
+    newest = latest_changes(changes, target.columns, keys, seq, delete, order)
+    return _replaced(target, changes, newest.where(~F.col("_gone")), keys)
+
+
+def patches(
+    changes: DataFrame, columns: Sequence[str], keys: Sequence[str], seq: str, delete: Column | None = None
 ) -> DataFrame:
-    """Only the fields a change carries are overwritten; null means not carried.
+    """What a batch of patches comes to for every key: `_cleared` if it deletes the row, `_alive` if
+    the row is there after it, and the values it carries since.
 
-    A delete clears the row, so only changes after a key's last delete count. Since the
-    newest value of a field is the only one that can survive, one aggregate per field
-    and the sequence of the last delete are enough: no window, no second shuffle.
+    A delete clears the row, so only changes after a key's last delete count. Since the newest value of
+    a field is the only one that can survive, one aggregate per field and the sequence of the last
+    delete are enough, without a window.
     """
     gone = F.lit(False) if delete is None else F.coalesce(delete, F.lit(False))
-    values = [c for c in target.columns if c not in keys and c in changes.columns]
+    values = [c for c in columns if c not in keys and c in changes.columns]
     flagged = changes.select(*keys, F.col(seq).alias("_seq"), gone.alias("_gone"), *values)
     upsert = ~F.col("_gone")
 
@@ -123,26 +128,53 @@ def upsert_patch(
         *[newest(name) for name in values],
     )
     deleted_at = F.col("_deleted_at")
-    patch = summed.select(
+    later = lambda name: deleted_at.isNull() | (F.col(name).getField("_seq") > deleted_at)
+    return summed.select(
         *keys,
         deleted_at.isNotNull().alias("_cleared"),
         (F.col("_upsert_at").isNotNull() & (deleted_at.isNull() | (F.col("_upsert_at") > deleted_at))).alias("_alive"),
-        *[
-            F.when(
-                deleted_at.isNull() | (F.col(name).getField("_seq") > deleted_at), F.col(name).getField(name)
-            ).alias(name)
-            for name in values
-        ],
+        *[F.when(later(name), F.col(name).getField(name)).alias(name) for name in values],
     )
-    cleared = F.coalesce(F.col("c._cleared"), F.lit(False))
-    alive = F.coalesce(F.col("c._alive"), F.lit(False))
-    stored = F.coalesce(F.col("t._stored"), F.lit(False))
+
+
+def replay_patches(summed: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """What `patches` gave for several batches as changes again: of each row a delete if it clears,
+    then an upsert if the row is alive. `order` numbers the batches."""
+    steps = F.array_compact(
+        F.array(
+            F.when(F.col("_cleared"), F.struct((F.col(order) * 2).alias("n"), F.lit(True).alias("gone"))),
+            F.when(F.col("_alive"), F.struct((F.col(order) * 2 + 1).alias("n"), F.lit(False).alias("gone"))),
+        )
+    )
+    values = [c for c in summed.columns if c not in (*keys, order, "_cleared", "_alive")]
+    return summed.select(*keys, *values, F.explode(steps).alias("_step")).select(
+        *keys, *values, F.col("_step.n").alias(order), F.col("_step.gone").alias("_gone")
+    )
+
+
+def upsert_patch(
+    target: DataFrame,
+    changes: DataFrame,
+    keys: Sequence[str],
+    seq: str,
+    delete: Column | None = None,
+) -> DataFrame:
+    """Only the fields a change carries are overwritten; null means not carried."""
+    values = [c for c in target.columns if c not in keys and c in changes.columns]
+    patch = patches(changes, target.columns, keys, seq, delete)
+    # Of the stored rows only those of changed keys are needed to fill up what a patch leaves out.
+    old = target.join(changes.select(*keys).distinct(), list(keys), "left_semi").withColumn("_stored", F.lit(True))
+    joined = patch.alias("c").join(old.alias("t"), list(keys), "left")
+    cleared, stored = F.col("c._cleared"), F.coalesce(F.col("t._stored"), F.lit(False))
 
     def pick(name: str) -> Column:
-        old = F.when(~cleared, F.col(f"t.{name}"))
-        return F.coalesce(F.col(f"c.{name}"), old) if name in values else old
+        kept = F.when(~cleared, F.col(f"t.{name}"))
+        return F.coalesce(F.col(f"c.{name}"), kept) if name in values else kept
 
-    return _merge(target, patch, keys, pick, present=alive | (stored & ~cleared))
+    merged = joined.where(F.col("c._alive") | (stored & ~cleared)).select(
+        *[F.col(k) if k in keys else pick(k).alias(k) for k in target.columns]
+    )
+    return _replaced(target, changes, merged, keys)
 
 
 def delete_by_key(target: DataFrame, deletes: DataFrame, keys: Sequence[str]) -> DataFrame:

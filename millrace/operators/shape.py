@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import cells
-from ..functions.keys import row_key, run_of, stable_salt
+from ..functions.keys import LOGIC_PARTITIONS, row_key, run_of, stable_salt
 from ..spec import FROM_KEY, OBJECT_KEY, TO_KEY
 
 ROW_KEY = "_row_key"
-ROWS_PER_SALT = 200_000
+SALTS = 64
 
 
 def _default(df: DataFrame, name: str, source: str) -> DataFrame:
@@ -36,8 +35,8 @@ def to_graph(df: DataFrame, kind: str = "vertex") -> DataFrame:
     return df
 
 
-def with_row_key(df: DataFrame, key: str = OBJECT_KEY) -> DataFrame:
-    return df.withColumn(ROW_KEY, row_key(F.col(key)))
+def with_row_key(df: DataFrame, key: str = OBJECT_KEY, n_logic: int = LOGIC_PARTITIONS) -> DataFrame:
+    return df.withColumn(ROW_KEY, row_key(F.col(key), n_logic))
 
 
 def rows_to_cells(df: DataFrame, types: Mapping[str, str], key: str = ROW_KEY) -> DataFrame:
@@ -84,16 +83,13 @@ def bulk_lines(
 
 
 def bulk_batches(
-    df: DataFrame, keys: Sequence[str], n: int = 2000, salts: int | None = None, rows: int | None = None,
-    salt: Column | None = None,
+    df: DataFrame, keys: Sequence[str], n: int = 2000, salts: int = SALTS, salt: Column | None = None
 ) -> DataFrame:
     """Adds `salt` and `batch` so that no (salt, batch) has more than `n` rows.
 
-    The keys name a row. Salts follow from them, hence a repeat gives the same batches,
-    and there are as many as keep each one small whatever the number of rows.
+    The keys name a row. Salts follow from them and their number is given, so a row's salt does not
+    depend on the other rows; rows are numbered inside a salt. Give more salts for larger inputs.
     """
-    if salts is None:
-        salts = max(1, math.ceil((df.count() if rows is None else rows) / ROWS_PER_SALT))
     salt = stable_salt(F.concat_ws("\x1f", *keys), salts) if salt is None else salt
     salted = df.withColumn("salt", salt)
     place = F.row_number().over(Window.partitionBy("salt").orderBy(*keys))
@@ -109,19 +105,28 @@ def bulk_payload(batches: DataFrame, keys: Sequence[str], lines: str = "lines")
     )
 
 
-def collect_batch(df: DataFrame, keys: Sequence[str], seq: str, value: str, n: int = 2000) -> DataFrame:
-    """Buffered values per key, in runs of the sequence `n` wide, so each list stays small.
-
-    `seq` is a unique number such as an offset.
-    """
+def collect_batch(df: DataFrame, keys: Sequence[str], seq: str, value: str, n: int | None = None) -> DataFrame:
+    """Buffered values per key, in sequence order. All of a key by default; with `n`, lists of at most
+    `n` values, for which rows are numbered inside their key, so repeated `seq` do no harm."""
+    if n is None:
+        df = df.withColumn("buffer", F.lit(0).cast("bigint"))
+    else:
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(seq, value))
+        df = df.withColumn("buffer", run_of((place - 1).cast("bigint"), n))
     pairs = F.array_sort(F.collect_list(F.struct(seq, value)))
-    return df.groupBy(*keys, run_of(F.col(seq), n).alias("buffer")).agg(
-        F.transform(pairs, lambda p: p.getField(value)).alias("rows")
-    )
+    return df.groupBy(*keys, "buffer").agg(F.transform(pairs, lambda p: p.getField(value)).alias("rows"))
+
+
+def text_lines(df: DataFrame, columns: Sequence[str], delimiter: str = ",", escape: str | None = None) -> DataFrame:
+    """Delimited text, a null written as `null`. With `escape`, that character is put before a delimiter
+    or itself inside a value, and line breaks become `\\n` and `\\r`, so that a record stays one line."""
 
+    def written(name: str) -> Column:
+        text = F.col(name).cast("string")
+        if escape:
+            for plain, safe in ((escape, escape * 2), (delimiter, escape + delimiter), ("\n", escape + "n"), ("\r", escape + "r")):
+                text = F.replace(text, F.lit(plain), F.lit(safe))
+        return F.coalesce(text, F.lit("null"))
 
-def text_lines(df: DataFrame, columns: Sequence[str], delimiter: str = ",") -> DataFrame:
-    """Delimited text, a null written as `null`."""
-    values = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in columns]
     others = [c for c in df.columns if c not in columns]
-    return df.select(*others, F.concat_ws(delimiter, *values).alias("value"))
+    return df.select(*others, F.concat_ws(delimiter, *[written(c) for c in columns]).alias("value"))

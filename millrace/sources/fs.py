@@ -29,6 +29,10 @@ class Files:
             return []
         return sorted(status.getPath().getName() for status in self._fs.listStatus(self._path(path)))
 
+    def modified(self, path: str) -> float:
+        """When a path was changed last, in seconds."""
+        return self._fs.getFileStatus(self._path(path)).getModificationTime() / 1000
+
     def mkdirs(self, path: str) -> None:
         self._fs.mkdirs(self._path(path))
 

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..spec import SourceSpec
 
-KAFKA_POSITION = ("topic", "partition", "offset")
+# By time first: changes of one key may come from several partitions.
+KAFKA_POSITION = ("timestamp", "topic", "partition", "offset")
 FILE_POSITION = ("modified", "file", "line")
 
 
@@ -18,7 +19,7 @@ def position_columns(source: SourceSpec) -> tuple[str, ...]:
 def read_source(
     spark: SparkSession, source: SourceSpec, streaming: bool = True, schema: T.StructType | None = None
 ) -> DataFrame:
-    """Messages in the column `value`, and where each one stands in the source: topic,
+    """Messages in the column `value`, and where each one stands in the source: time, topic,
     partition and offset in Kafka, modification time and file elsewhere."""
     reader = (spark.readStream if streaming else spark.read).format(source.format)
     reader = reader.options(**source.options)
@@ -26,7 +27,7 @@ def read_source(
         reader = reader.schema(schema)
     if source.format == "kafka":
         rows = reader.load()
-        return rows.select("topic", "partition", "offset", "timestamp", F.col("value").cast("string").alias("value"))
+        return rows.select(*KAFKA_POSITION, F.col("value").cast("string").alias("value"))
     rows = reader.load(source.path)
     meta = F.col("_metadata")
     return rows.select(

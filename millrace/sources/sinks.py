@@ -13,9 +13,12 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.convert import SPARK_TYPES
+from ..functions.keys import LOGIC_PARTITIONS
 from ..operators import changes
-from ..operators.layout import single_writer, spread_for_write
-from ..operators.shape import ROW_KEY, bulk_batches, bulk_lines, bulk_payload, text_lines, to_document, to_graph, with_row_key
+from ..operators.layout import assign_region, single_writer, spread_for_write
+from ..operators.shape import (
+    ROW_KEY, bulk_batches, bulk_lines, bulk_payload, rows_to_cells, text_lines, to_document, to_graph, with_row_key,
+)
 from ..plans.compaction import commit_staged, forget_commits, is_committed
 from ..spec import MESSAGE_BREAK, OBJECT_KEY, STREAMING_ERROR, SchemaSpec, SinkSpec
 from .keyed import KeyedTable
@@ -39,8 +42,9 @@ def build_sink(spark: SparkSession, spec: SinkSpec, schema: SchemaSpec) -> Sink:
     return _factories[spec.store_type](spark, spec, schema)
 
 
-def batch_tag(batch_id: int) -> str:
-    return f"batch{batch_id:012d}"
+def batch_tag(batch_id: int, job_id: str = "") -> str:
+    """Names a batch of a job; batch numbers count within a job only."""
+    return f"{job_id}-batch{batch_id:012d}" if job_id else f"batch{batch_id:012d}"
 
 
 def record_type(schema: SchemaSpec) -> T.StructType:
@@ -67,7 +71,7 @@ def table_sink(spark: SparkSession, spec: SinkSpec, schema: SchemaSpec) -> Sink:
     parts = list(info.partition_columns)
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        tag = batch_tag(batch_id)
+        tag = batch_tag(batch_id, spec.job_id)
         stage = f"{info.location}/_stage/{tag}"
         if not is_committed(spark, info.location, tag):
             fitted = conform(rows, info.columns)
@@ -92,26 +96,35 @@ def keyed_location(spark: SparkSession, spec: SinkSpec) -> str:
     return "/".join([spark.conf.get("spark.sql.warehouse.dir").rstrip("/"), spec.store_type.lower(), *parts])
 
 
-def _keyed_sink(shape, extra: list[str], key: str, patch: bool) -> SinkFactory:
-    """Rows applied to a keyed table: deletes before upserts within a batch, whole rows
-    replaced or only the carried fields overwritten."""
+class KeyedSink:
+    """Rows applied to a keyed table; its changes are folded into the base on an interval."""
 
-    def factory(spark: SparkSession, spec: SinkSpec, schema: SchemaSpec) -> Sink:
+    def __init__(self, table: KeyedTable, spec: SinkSpec, schema: SchemaSpec, shape):
+        self.table, self.spec, self.schema, self.shape = table, spec, schema, shape
+        self.order = spec.options.get("order", "sequence")
+        self.upkeep_seconds = spec.fold_seconds
+
+    def __call__(self, rows: DataFrame, batch_id: int) -> None:
+        shaped = self.shape(changes.classify_op(rows, self.schema), self.schema)
+        delete = F.col(changes.DELETE_FLAG)
+        self.table.apply(shaped, SEQ, batch_id, delete, self.order, self.spec.job_id)
+
+    def upkeep(self) -> None:
+        self.table.fold()
+        self.table.vacuum(float(self.spec.options.get("keepSeconds") or 3600))
+
+
+def _keyed_sink(shape, extra: list[str], key: str, patch: bool) -> Callable[..., KeyedSink]:
+    """Sinks whose batches replace whole rows or overwrite only the fields they carry."""
+
+    def factory(spark: SparkSession, spec: SinkSpec, schema: SchemaSpec) -> KeyedSink:
         columns = record_type(schema)
         for name in extra if schema.is_edge else [n for n in extra if n not in ("_from", "_to")]:
             if name not in columns.names:
                 columns = columns.add(name, T.StringType())
-        table = KeyedTable(
-            spark, keyed_location(spark, spec), columns, [key], int(spec.options.get("buckets", 64))
-        )
-        order = spec.options.get("order", "sequence")
-
-        def write(rows: DataFrame, batch_id: int) -> None:
-            shaped = shape(changes.classify_op(rows, schema), schema)
-            table.apply(shaped, SEQ, batch_id, F.col(changes.DELETE_FLAG), order, patch)
-            table.vacuum()
-
-        return write
+        buckets = int(spec.options.get("buckets", 64))
+        table = KeyedTable(spark, keyed_location(spark, spec), columns, [key], buckets, patch)
+        return KeyedSink(table, spec, schema, shape)
 
     return factory
 
@@ -126,23 +139,56 @@ def _bulk_requests(rows: DataFrame, spec: SinkSpec, schema: SchemaSpec) -> DataF
     return bulk_payload(bulk_batches(lines, [OBJECT_KEY], spec.batch_size), [OBJECT_KEY])
 
 
+class _WithExtra:
+    """A keyed sink that also writes each batch in a store's own shape."""
+
+    def __init__(self, keyed: KeyedSink, also: Sink):
+        self.keyed, self.also = keyed, also
+        self.upkeep_seconds, self.upkeep = keyed.upkeep_seconds, keyed.upkeep
+
+    def __call__(self, rows: DataFrame, batch_id: int) -> None:
+        self.keyed(rows, batch_id)
+        self.also(rows, batch_id)
+
+
 def document_sink(spark: SparkSession, spec: SinkSpec, schema: SchemaSpec) -> Sink:
     """Documents replaced by id; with a `payloadPath`, also the bulk requests as text."""
     keyed = _keyed_sink(lambda df, _: to_document(df), ["id"], OBJECT_KEY, patch=False)(spark, spec, schema)
     payload_path = spec.options.get("payloadPath")
+    if not payload_path:
+        return keyed
 
-    def write(rows: DataFrame, batch_id: int) -> None:
-        keyed(rows, batch_id)
-        if payload_path:
-            requests = _bulk_requests(rows, spec, schema).select("payload")
-            requests.write.mode("overwrite").option("lineSep", "\n").text(f"{payload_path}/{batch_tag(batch_id)}")
+    def requests(rows: DataFrame, batch_id: int) -> None:
+        texts = _bulk_requests(rows, spec, schema).select("payload")
+        texts.write.mode("overwrite").option("lineSep", "\n").text(f"{payload_path}/{batch_tag(batch_id, spec.job_id)}")
 
-    return write
+    return _WithExtra(keyed, requests)
+
+
+def wide_column_sink(spark: SparkSession, spec: SinkSpec, schema: SchemaSpec) -> Sink:
+    """Rows patched by row key; with a `cellsPath`, also the batch's cells in row key order, a range of
+    regions to a file. `logicPartitions` and `physicsPartitions` lay out keys and regions."""
+    n_logic = int(spec.options.get("logicPartitions") or LOGIC_PARTITIONS)
+    n_physical = int(spec.options.get("physicsPartitions") or 16)
+    keyed = _keyed_sink(lambda df, _: with_row_key(df, n_logic=n_logic), [ROW_KEY], ROW_KEY, patch=True)(spark, spec, schema)
+    cells_path = spec.options.get("cellsPath")
+    if not cells_path:
+        return keyed
+    types = {f.target: f.type for f in schema.fields if not (schema.is_mix and f.target == schema.op_field)}
+
+    def cells(rows: DataFrame, batch_id: int) -> None:
+        flagged = with_row_key(changes.classify_op(rows, schema), n_logic=n_logic)
+        newest = changes.latest_per_key(flagged, [ROW_KEY], SEQ).where(~F.col(changes.DELETE_FLAG))
+        placed = assign_region(rows_to_cells(newest, types), n_logic, n_physical, "row_key")
+        ordered = placed.repartitionByRange(n_physical, "region", "row_key").sortWithinPartitions("row_key", "qualifier")
+        ordered.write.mode("overwrite").parquet(f"{cells_path}/{batch_tag(batch_id, spec.job_id)}")
+
+    return _WithExtra(keyed, cells)
 
 
 register_sink("HIVE", table_sink)
 register_sink("ES", document_sink)
-register_sink("HBASE", _keyed_sink(lambda df, _: with_row_key(df), [ROW_KEY], ROW_KEY, patch=True))
+register_sink("HBASE", wide_column_sink)
 register_sink("GDB", _keyed_sink(lambda df, s: to_graph(df, s.kind), ["_key", "_from", "_to"], "_key", patch=True))
 register_sink("ATLAS", _factories["GDB"])
 

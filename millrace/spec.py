@@ -6,6 +6,7 @@ Defaults live here and apply whenever a key is missing, blank or zero.
 from __future__ import annotations
 
 import json
+import warnings
 from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
@@ -165,11 +166,23 @@ class RollingPolicy:
 class SinkSpec:
     store_type: str
     options: dict = field(default_factory=dict)
+    # Names the checkpoint whose batch numbers the sink gets.
+    job_id: str = ""
 
     @property
     def rolling(self) -> RollingPolicy:
         return RollingPolicy.from_config(self.options.get("rollingPolicy"))
 
+    @property
+    def refresh_seconds(self) -> int:
+        """How often the partitions of a table are looked for again; 0 never."""
+        return int(self.options.get("refreshInterval") or 0)
+
+    @property
+    def fold_seconds(self) -> int:
+        """How often a keyed table takes its changes into its base."""
+        return _number(self.options, "foldInterval", 600)
+
     @property
     def batch_size(self) -> int:
         return _number(self.options, "importBatchSize", 2000)
@@ -185,6 +198,24 @@ class SinkSpec:
         return cls(store, options)
 
 
+# Options of Spark's Kafka reader itself, which take no prefix, and consumer settings
+# that the reader makes itself and refuses to be given.
+KAFKA_READER_OPTIONS = (
+    "startingOffsets", "startingTimestamp", "startingOffsetsByTimestamp", "startingOffsetsByTimestampStrategy",
+    "endingOffsets", "endingTimestamp", "endingOffsetsByTimestamp", "failOnDataLoss", "maxOffsetsPerTrigger",
+    "minOffsetsPerTrigger", "maxTriggerDelay", "minPartitions", "maxRecordsPerPartition", "groupIdPrefix",
+    "includeHeaders", "kafkaConsumer.pollTimeoutMs", "fetchOffset.numRetries", "fetchOffset.retryIntervalMs",
+)
+KAFKA_SET_BY_SPARK = (
+    "enable.auto.commit", "auto.commit.interval.ms", "key.deserializer", "value.deserializer", "interceptor.classes",
+)
+
+
+def _text(value) -> str:
+    """An option's text: structures as JSON."""
+    return value if isinstance(value, str) else json.dumps(value)
+
+
 @dataclass(frozen=True)
 class SourceSpec:
     """Where messages come from; `format` is kafka unless the config says otherwise."""
@@ -210,11 +241,26 @@ class SourceSpec:
         options = {
             "kafka.bootstrap.servers": servers,
             "subscribe": topics,
-            "kafka.group.id": config.get("groupId") or "flink-loader",
+            "kafka.group.id": config.get("groupId") or "millrace",
             "kafka.session.timeout.ms": "60000",
+            # A first run takes the backlog; later ones go on from the checkpoint.
+            "startingOffsets": "earliest",
         }
-        for key, value in (config.get("config") or {}).items():
-            options[f"kafka.{key}"] = str(value)
+        given = {str(k): str(v) for k, v in (config.get("config") or {}).items()}
+        given |= {k: _text(config[k]) for k in KAFKA_READER_OPTIONS if not _blank(config.get(k))}
+        for key, value in given.items():
+            if key == "auto.offset.reset":
+                if value not in ("earliest", "latest"):
+                    raise SpecError(f"source: auto.offset.reset [{value}] is neither earliest nor latest")
+                options["startingOffsets"] = value
+        for key, value in given.items():
+            if key in KAFKA_READER_OPTIONS:
+                options[key] = value
+            elif key != "auto.offset.reset" and key not in KAFKA_SET_BY_SPARK:
+                options[f"kafka.{key}"] = value
+        if {"startingTimestamp", "startingOffsetsByTimestamp"} & set(given):
+            if "startingOffsets" not in given and "auto.offset.reset" not in given:
+                del options["startingOffsets"]
         return cls("kafka", options)
 
 
@@ -252,6 +298,8 @@ class TaskSpec:
     checkpoint_ms: int = 60_000
     batch_ms: int = 10_000
     restarts: int = 3
+    # Session settings of the job.
+    settings: dict = field(default_factory=dict)
 
     @classmethod
     def from_config(cls, section: dict) -> "TaskSpec":
@@ -263,8 +311,22 @@ class TaskSpec:
             checkpoint_ms=_number(section, "checkpointInterval", cls.checkpoint_ms),
             batch_ms=_number(section, "batchInterval", cls.batch_ms),
             restarts=_number(section, "restart", cls.restarts),
+            settings=cls._settings(section),
         )
 
+    @staticmethod
+    def _settings(section: dict) -> dict[str, str]:
+        """The session settings in `config`. Others are settings of another engine and are named in a
+        warning. `parallelism` and `checkpointInterval` of old configs are read but have no effect:
+        the cluster's cores and the partition settings decide the one, every batch is a checkpoint."""
+        settings = {}
+        for key, value in (section.get("config") or {}).items():
+            if str(key).startswith("spark.sql."):
+                settings[str(key)] = _text(value)
+            else:
+                warnings.warn(f"taskConfig: config [{key}] is no session setting (spark.sql.*) and has no effect")
+        return settings
+
 
 @dataclass(frozen=True)
 class JobSpec:

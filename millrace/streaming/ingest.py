@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -13,8 +15,8 @@ from ..operators import quality
 from ..plans.compaction import compact
 from ..sources.readers import number_lines, position_columns, read_source
 from ..sources.sinks import SEQ, Sink, build_sink, sequence_of, sink_dirty, write_error_log
-from ..sources.tables import add_partitions, describe_table
-from ..spec import JobSpec, SchemaSpec
+from ..sources.tables import add_partitions, describe_table, refresh_partitions
+from ..spec import JobSpec, RollingPolicy, SchemaSpec
 from .ledger import Ledger
 
 
@@ -23,32 +25,41 @@ def _now() -> datetime:
 
 
 class Upkeep:
-    """Merging files and registering partitions of a sink's table, no more often than its
-    interval, when data arrives."""
+    """What sinks need now and then, each no more often than its own interval, when data arrives:
+    tables of the catalog get their files merged and partitions registered, keyed tables fold their
+    changes."""
 
-    def __init__(self, spark: SparkSession, job: JobSpec, clock: Callable[[], datetime] = _now):
+    def __init__(
+        self, spark: SparkSession, job: JobSpec, clock: Callable[[], datetime] = _now, sinks: Sequence[Sink] = ()
+    ):
         self.spark, self.clock = spark, clock
-        self.last = clock()
-        self.tables = [
-            (f"{s.options.get('database') or 'default'}.{s.options['table']}", s.rolling)
-            for s in job.sinks
-            if s.store_type == "HIVE"
-        ]
+        self.work: list[tuple[int, Callable[[], None]]] = []
+        for s in job.sinks:
+            if s.store_type == "HIVE":
+                name = f"{s.options.get('database') or 'default'}.{s.options['table']}"
+                self.work.append((s.rolling.check_seconds, partial(self._table, name, s.rolling)))
+                if s.refresh_seconds:
+                    self.work.append((s.refresh_seconds, partial(refresh_partitions, spark, name)))
+        self.work += [(s.upkeep_seconds, s.upkeep) for s in sinks if hasattr(s, "upkeep")]
+        self.last = [clock()] * len(self.work)
+
+    def _table(self, name: str, rolling: RollingPolicy) -> None:
+        info = describe_table(self.spark, name)
+        if rolling.enabled:
+            schema = self.spark.table(name).schema
+            compact(self.spark, info.location, info.format, rolling, now=self.clock(), schema=schema)
+        if info.partition_columns:
+            add_partitions(self.spark, name)
+        self.spark.catalog.refreshTable(name)
 
     def tick(self) -> int:
-        """The number of tables worked on."""
+        """The number of things done."""
         now, done = self.clock(), 0
-        due = [t for t in self.tables if (now - self.last).total_seconds() >= t[1].check_seconds]
-        for name, rolling in due:
-            info = describe_table(self.spark, name)
-            if rolling.enabled:
-                compact(self.spark, info.location, info.format, rolling, now=now)
-            if info.partition_columns:
-                add_partitions(self.spark, name)
-            self.spark.catalog.refreshTable(name)
-            done += 1
-        if due:
-            self.last = now
+        for i, (seconds, work) in enumerate(self.work):
+            if (now - self.last[i]).total_seconds() >= seconds:
+                work()
+                self.last[i] = now
+                done += 1
         return done
 
 
@@ -65,9 +76,16 @@ class Ingest:
     ):
         self.spark, self.job, self.clock = spark, job, clock
         self.position = list(position or position_columns(job.source))
-        self.sinks = list(sinks) if sinks is not None else [build_sink(spark, s, job.schema) for s in job.sinks]
         self.ledger = Ledger(spark, f"{job.task.checkpoint.rstrip('/')}/totals")
-        self.upkeep = Upkeep(spark, job, clock)
+        if sinks is None:
+            # Batch numbers count within a checkpoint, so its name goes with them.
+            ident = self.ledger.job_id()
+            sinks = [build_sink(spark, replace(s, job_id=ident), job.schema) for s in job.sinks]
+        self.sinks = list(sinks)
+        self.upkeep = Upkeep(spark, job, clock, self.sinks)
+        self.progress: dict[str, int] = {}
+        for name, value in job.task.settings.items():
+            spark.conf.set(name, value)
 
     def validated(self, messages: DataFrame) -> DataFrame:
         return quality.validate(messages, self.job.schema, keep=self.position)
@@ -87,6 +105,7 @@ class Ingest:
             counted = checked.agg(
                 F.count(F.lit(1)).alias("n"), F.count_if(F.col("error").isNotNull()).alias("bad")
             ).first()
+            self.progress = {"batch": batch_id, "consumed": before.consumed + counted["n"], "dirty": before.dirty + counted["bad"]}
             stored = 0
             if dirty_spec.enabled and counted["bad"]:
                 stored = min(counted["bad"], max(0, dirty_spec.rows_limit - before.stored_dirty))

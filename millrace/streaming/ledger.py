@@ -5,6 +5,7 @@ One small record per batch, each with the totals so far, so that only the last i
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import asdict, dataclass, replace
 from datetime import datetime
 
@@ -40,6 +41,16 @@ class Ledger:
         self.files = Files(spark, path)
         self.path = path.rstrip("/")
 
+    def job_id(self) -> str:
+        """A name for the checkpoint that this ledger lies in: the same for every run on it, another
+        for every other checkpoint. Made at the first call; of two made at once the first in order counts."""
+        folder = f"{self.path}/job"
+        found = [n for n in self.files.names(folder)]
+        if not found:
+            self.files.mkdirs(f"{folder}/{uuid.uuid4().hex}")
+            found = self.files.names(folder)
+        return found[0]
+
     def _numbers(self, kind: str) -> list[int]:
         names = self.files.names(f"{self.path}/{kind}")
         return sorted(int(n) for n in names if self.files.exists(f"{self.path}/{kind}/{n}/_SUCCESS"))

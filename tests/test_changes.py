@@ -109,38 +109,85 @@ def test_changes_are_thinned_before_the_shuffle(spark):
     assert "partial_max_by" in plan
 
 
-def test_keyed_table_batches_replays_and_versions(spark, rows):
+CHANGE = "k bigint, seq bigint, op string, a string, b bigint"
+
+
+def test_a_small_batch_leaves_stored_rows_where_they_are(spark, rows, tmp_path):
+    spark.range(200_000).selectExpr("id AS k", "'x' AS a", "id AS b").write.parquet(f"{tmp_path}/t")
+    target = spark.read.parquet(f"{tmp_path}/t")
+    rows(CHANGE, (2, 1, "ADD", "n", 1)).write.parquet(f"{tmp_path}/c")
+    few = spark.read.parquet(f"{tmp_path}/c")
+    for merged in (changes.apply_batch(target, few, ["k"], "seq", gone()), changes.upsert_patch(target, few, ["k"], "seq", gone())):
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert "FullOuter" not in plan and "BroadcastHashJoin" in plan
+        stored = next(part for part in plan.split("+- ") if "LeftAnti" in part)
+        assert "BroadcastHashJoin" in stored
+        assert merged.count() == 200_000
+
+
+def keyed(spark, rows, path=None, **options):
+    target, _ = frames(rows, make_log(1, 1))
+    table = KeyedTable(spark, path or scratch_path(spark, "keyed"), target.schema, ["k"], **options)
+    return table, target.withColumn("seq", F.lit(0))
+
+
+def test_keyed_table_batches_replays_and_folds(spark, rows):
     for patch, replay in ((False, replay_replace), (True, replay_patch)):
         log = make_log(150, 21)
-        target, _ = frames(rows, log)
-        table = KeyedTable(spark, scratch_path(spark, "keyed"), target.schema, ["k"], buckets=4)
-        assert table.read().count() == 0 and table.last_batch() == -1
-        table.apply(target.withColumn("seq", F.lit(0)), "seq", 0)
+        table, start = keyed(spark, rows, buckets=4, patch=patch)
+        assert table.read().count() == 0 and not table.fold()
+        table.apply(start, "seq", 0)
         for number, at in enumerate(range(0, 150, 50), start=1):
-            part = rows("k bigint, seq bigint, op string, a string, b bigint", *log[at : at + 50])
-            assert table.apply(part, "seq", number, gone(), patch=patch)
-            assert not table.apply(part, "seq", number, gone(), patch=patch)
+            part = rows(CHANGE, *log[at : at + 50])
+            assert table.apply(part, "seq", number, gone())
+            assert not table.apply(part, "seq", number, gone())
+            if number == 2:
+                assert table.fold()
+                assert not table.apply(part, "seq", number, gone())
         assert as_dict(table.read()) == replay(log)
-        table.vacuum(keep=1)
-        assert len(table.versions()) == 1 and as_dict(table.read()) == replay(log)
-
-
-def test_keyed_table_rewrites_touched_buckets_only(spark, rows):
-    target, _ = frames(rows, make_log(1, 1))
-    table = KeyedTable(spark, scratch_path(spark, "keyed"), target.schema, ["k"], buckets=16)
-    table.apply(target.withColumn("seq", F.lit(0)), "seq", 0)
-    table.apply(rows("k bigint, a string, b bigint, seq bigint", (2, "n", 1, 1)), "seq", 1)
-    changed = [b for b, v in table._manifest(table.versions()[-1]).items() if v == 2]
-    assert len(changed) == 1
+        assert table.fold() and not table.fold()
+        assert as_dict(table.read()) == replay(log)
+        table.vacuum(keep_seconds=-5)
+        assert len(table.versions()) == 1 and not table._change_sets() and as_dict(table.read()) == replay(log)
+
+
+def test_a_new_job_begins_at_batch_0_again(spark, rows):
+    table, start = keyed(spark, rows)
+    table.apply(start, "seq", 7, job="first")
+    table.fold()
+    assert table.apply(rows(CHANGE, (999, 1, "ADD", "n", 1)), "seq", 0, gone(), job="second")
+    assert not table.apply(rows(CHANGE, (999, 1, "ADD", "n", 1)), "seq", 7, gone(), job="first")
+    assert as_dict(table.read()) == {**START, 999: ("n", 1)}
+
+
+def test_the_stored_number_of_buckets_counts(spark, rows):
+    table, start = keyed(spark, rows, buckets=4)
+    table.apply(start, "seq", 0)
+    table.fold()
+    again, _ = keyed(spark, rows, table.path, buckets=16)
+    again.apply(rows(CHANGE, *[(k, 1, "ADD", "n", 1) for k in range(10)]), "seq", 1, gone())
+    again.fold()
+    assert as_dict(again.read()) == {**START, **{k: ("n", 1) for k in range(10)}}
+
+
+def test_a_batch_writes_as_much_as_it_holds(spark, rows):
+    table, start = keyed(spark, rows, buckets=16)
+    table.apply(start, "seq", 0)
+    table.fold()
+    table.apply(rows(CHANGE, (2, 1, "ADD", "n", 1)), "seq", 1, gone())
+    assert spark.read.parquet(table._folder(2, "", 1)).count() == 1
+    table.fold()
+    assert [b for b, v in table._state()[0].items() if v == 2] and sum(v == 2 for v in table._state()[0].values()) == 1
     assert as_dict(table.read()) == {**START, 2: ("n", 1)}
 
 
-def test_keyed_table_ignores_an_unpublished_version(spark, rows):
-    target, _ = frames(rows, make_log(1, 1))
-    path = scratch_path(spark, "keyed")
-    table = KeyedTable(spark, path, target.schema, ["k"], buckets=2)
-    table.apply(target.withColumn("seq", F.lit(0)), "seq", 0)
-    target.limit(1).withColumn("bucket", F.lit(0)).write.partitionBy("bucket").parquet(f"{path}/data/v=2")
+def test_keyed_table_ignores_what_is_not_published(spark, rows):
+    table, start = keyed(spark, rows, buckets=2)
+    table.apply(start, "seq", 0)
+    table.fold()
+    start.limit(1).withColumn("bucket", F.lit(0)).write.partitionBy("bucket").parquet(f"{table.path}/data/v=2")
+    start.limit(1).write.parquet(table._folder(2, "", 1))
+    table.files.delete(f"{table._folder(2, '', 1)}/_SUCCESS")
     assert as_dict(table.read()) == START
-    table.apply(rows("k bigint, a string, b bigint, seq bigint", (2, "n", 1, 1)), "seq", 1)
+    assert table.apply(rows(CHANGE, (2, 1, "ADD", "n", 1)), "seq", 1, gone()) and table.fold()
     assert as_dict(table.read()) == {**START, 2: ("n", 1)}

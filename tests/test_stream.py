@@ -25,7 +25,7 @@ def config(spark, **changes):
         "errorInfo": {
             "dirtyData": {
                 "storeType": "file", "handleMode": -1, "storeEnabled": True, "storeRowsLimit": 5,
-                "taskInstanceId": "7083", "config": {"path": f"{base}/dirty"},
+                "taskInstanceId": "load-1", "config": {"path": f"{base}/dirty"},
             },
             "logInfo": {"storeType": "file", "config": {"path": f"{base}/log"}},
         },
@@ -62,13 +62,10 @@ def put(spark, base, *lines):
     spark.createDataFrame([(t,) for t in lines], "value string").coalesce(1).write.mode("append").text(f"{base}/in")
 
 
-def stored(spark, base, name):
-    from millrace.sources.keyed import KeyedTable
-
-    path = f"{base}/{name}"
-    table = KeyedTable(spark, path, spark.createDataFrame([], "object_key string").schema, ["object_key"])
-    latest = table._manifest(table.versions()[-1])
-    return spark.read.parquet(*[f"{path}/data/v={v}/bucket={b}" for b, v in latest.items()])
+def stored(work, number):
+    """The rows of a job's keyed sink."""
+    sink = work.sinks[number]
+    return getattr(sink, "keyed", sink).table.read()
 
 
 def test_job_on_a_stream(spark):
@@ -82,11 +79,11 @@ def test_job_on_a_stream(spark):
         message("5/6"))
     Ingest(spark, job, clock=lambda: START + timedelta(days=1)).run(available_now=True)
 
-    documents = {r["id"]: (r["name"], r["age"]) for r in stored(spark, base, "es").collect()}
+    documents = {r["id"]: (r["name"], r["age"]) for r in stored(work, 0).collect()}
     assert documents == {"1": (None, 31), "4": ("Dan", None)}
-    graph = {r["_key"]: (r["name"], r["age"], r["country"]) for r in stored(spark, base, "gdb").collect()}
+    graph = {r["_key"]: (r["name"], r["age"], r["country"]) for r in stored(work, 1).collect()}
     assert graph == {"1": ("Ann", 31, "x"), "4": ("Dan", None, None)}
-    wide = stored(spark, base, "hbase")
+    wide = stored(work, 2)
     assert {r["_row_key"].split("#")[1] for r in wide.collect()} == {"1", "4"} and "_operation" not in wide.columns
 
     totals = work.ledger.totals()
@@ -95,7 +92,7 @@ def test_job_on_a_stream(spark):
     kinds = sorted(json.loads(r["value"])["error_type"] for r in days["2024-01-31"])
     assert kinds == ["CHECK_DIRTY_ERROR", "PARSE_ERROR"] and len(days["2024-02-01"]) == 1
     envelope = json.loads(days["2024-02-01"][0]["value"])
-    assert envelope["affected_store"] == "ES,GDB,HBASE" and envelope["task_instance_id"] == "7083"
+    assert envelope["affected_store"] == "ES,GDB,HBASE" and envelope["task_instance_id"] == "load-1"
     bulk = [json.loads(r["value"]) for r in spark.read.text(f"{base}/bulk/*").collect() if r["value"]]
     assert sum("delete" in b for b in bulk) == 1 and sum("index" in b for b in bulk) == 4
 
@@ -145,12 +142,13 @@ def test_limit_stops_the_job_after_the_batch(spark):
     text["sinks"] = text["sinks"][:1]
     put(spark, base, message("1", name="kept"), "bad", "bad")
     job = JobSpec.from_config(text)
+    work = Ingest(spark, job, clock=lambda: START)
     with pytest.raises(Exception, match="DIRTY_COUNT_ERROR"):
-        Ingest(spark, job, clock=lambda: START).run(available_now=True)
-    assert [r["name"] for r in stored(spark, base, "es").collect()] == ["kept"]
+        work.run(available_now=True)
+    assert [r["name"] for r in stored(work, 0).collect()] == ["kept"]
     (line,) = spark.read.text(f"{base}/log/2024-01-31/error.log").collect()
     log = json.loads(line["value"])
-    assert log["error_type"] == "DIRTY_COUNT_ERROR" and log["task_instance_id"] == "7083"
+    assert log["error_type"] == "DIRTY_COUNT_ERROR" and log["task_instance_id"] == "load-1"
     with pytest.raises(DirtyLimitExceeded):
         Ingest(spark, job, clock=lambda: START).process(batch(spark), 0)
 
@@ -268,8 +266,8 @@ def test_config_defaults_and_checks(spark):
     kafka = {"storeType": "KAFKA", "storeConfig": {"servers": "h:1", "topic": "t", "config": {"max.poll.records": 5}}}
     job = JobSpec.from_config(json.dumps({**text, "sources": [kafka]}))
     assert job.source.options == {
-        "kafka.bootstrap.servers": "h:1", "subscribe": "t", "kafka.group.id": "flink-loader",
-        "kafka.session.timeout.ms": "60000", "kafka.max.poll.records": "5",
+        "kafka.bootstrap.servers": "h:1", "subscribe": "t", "kafka.group.id": "millrace",
+        "kafka.session.timeout.ms": "60000", "kafka.max.poll.records": "5", "startingOffsets": "earliest",
     }
     assert (job.task.parallelism, job.task.batch_ms, job.sinks[0].batch_size) == (3, 10_000, 2000)
     rolling = SinkSpec.from_config({"storeType": "hive", "storeConfig": {"database": "d", "table": "t",
@@ -277,6 +275,104 @@ def test_config_defaults_and_checks(spark):
     assert (rolling.max_part_bytes, rolling.rollover_seconds, rolling.idle_seconds, rolling.check_seconds) == (1 << 20, 0, 60, 60)
 
 
+def test_kafka_options(spark):
+    def options(config=None, **more):
+        section = {"storeType": "KAFKA", "storeConfig": {"servers": "h:1", "topic": "t", "config": config or {}, **more}}
+        return SourceSpec.from_config(section).options
+
+    got = options({"auto.offset.reset": "latest", "enable.auto.commit": "true", "maxOffsetsPerTrigger": 500,
+                   "failOnDataLoss": "false", "security.protocol": "SSL", "key.deserializer": "x"})
+    assert got["startingOffsets"] == "latest" and got["maxOffsetsPerTrigger"] == "500" and got["failOnDataLoss"] == "false"
+    assert got["kafka.security.protocol"] == "SSL"
+    assert not {"kafka.auto.offset.reset", "kafka.enable.auto.commit", "kafka.key.deserializer"} & set(got)
+    assert json.loads(options(startingOffsets={"t": {"0": 23}})["startingOffsets"]) == {"t": {"0": 23}}
+    assert "startingOffsets" not in options({"startingTimestamp": "1000"})
+    with pytest.raises(SpecError):
+        options({"auto.offset.reset": "none"})
+
+
+def test_session_settings_of_a_job(spark):
+    base, text = config(spark)
+    text["taskConfig"]["config"] = {"spark.sql.files.openCostInBytes": 1234567, "state.backend": "x"}
+    with pytest.warns(UserWarning, match="state.backend"):
+        job = JobSpec.from_config(text)
+    Ingest(spark, job, [], ["offset"])
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == "1234567"
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_changes_of_a_key_from_two_partitions_go_by_time(spark):
+    from millrace.operators import changes
+    from millrace.sources.readers import KAFKA_POSITION
+    from millrace.sources.sinks import sequence_of
+
+    data = [("t", 1, 5, 1000, "old"), ("t", 0, 90, 2000, "new")]
+    rows = spark.createDataFrame(data, "topic string, partition int, offset long, timestamp long, v string").withColumn("k", F.lit(1))
+    newest = changes.latest_per_key(rows.withColumn("s", sequence_of(rows, list(KAFKA_POSITION))), ["k"], "s")
+    assert [r["v"] for r in newest.collect()] == ["new"]
+
+
+def test_upkeep_has_a_time_for_each_table(spark):
+    _, text = config(spark)
+    job = JobSpec.from_config(text)
+
+    class Fold:
+        def __init__(self, seconds):
+            self.upkeep_seconds, self.count = seconds, 0
+
+        def upkeep(self):
+            self.count += 1
+
+    now, sinks = [START], [Fold(60), Fold(3600)]
+    upkeep = Upkeep(spark, job, lambda: now[0], sinks)
+    for _ in range(600):
+        now[0] += timedelta(seconds=60)
+        upkeep.tick()
+    assert [s.count for s in sinks] == [600, 10]
+
+
+def test_two_jobs_on_one_table_keep_all_rows(spark):
+    tables.drop_table(spark, "shared_table")
+    tables.ensure_table(spark, "shared_table", "object_key string, age bigint")
+    for job_number in range(2):
+        _, text = config(spark)
+        text["sinks"] = [{"storeType": "HIVE", "storeConfig": {"database": "default", "table": "shared_table"}}]
+        work = Ingest(spark, JobSpec.from_config(text), position=["offset"], clock=lambda: START)
+        for number in range(3):
+            work.process(batch(spark, message(f"{job_number}-{number}", age=1)), number)
+        again = Ingest(spark, JobSpec.from_config(text), position=["offset"], clock=lambda: START)
+        assert again.ledger.job_id() == work.ledger.job_id()
+        again.sinks[0](ingest_rows(batch(spark, message("repeat", age=1)), again.job.schema), 2)
+    assert spark.table("shared_table").count() == 6
+    tables.drop_table(spark, "shared_table")
+
+
+def test_cells_of_a_batch_by_region(spark):
+    base, text = config(spark)
+    options = {"url": "none", "table": "t", "path": f"{base}/wide", "cellsPath": f"{base}/cells", "logicPartitions": 100,
+               "physicsPartitions": 4}
+    write = build_sink(spark, SinkSpec("HBASE", options), JobSpec.from_config(text).schema)
+    rows = ingest_rows(batch(spark, *[message(str(i), age=i) for i in range(40)]), JobSpec.from_config(text).schema, ["offset"])
+    write(rows.withColumn("_seq", F.col("offset")), 0)
+    cells = spark.read.parquet(f"{base}/cells/*")
+    assert cells.count() == 80 and {r["region"] for r in cells.select("region").distinct().collect()} <= {0, 1, 2, 3}
+    assert all(int(r["row_key"].split("#")[0]) < 100 for r in cells.collect())
+
+
+def test_whole_windows_and_numbered_lists(spark):
+    from millrace.operators.shape import collect_batch
+    from millrace.streaming.windows import apply_to_windows
+
+    rows = spark.range(5000).selectExpr("timestamp_seconds(id div 5000) AS ts", "7L AS seq", "id AS v", "id % 2 AS k")
+    whole = tumbling_window(rows, "ts", "10 seconds", "v", "seq").collect()
+    assert [len(r["rows"]) for r in whole] == [5000]
+    parts = tumbling_window(rows, "ts", "10 seconds", "v", "seq", rows_per_list=2000).collect()
+    assert sorted(len(r["rows"]) for r in parts) == [1000, 2000, 2000]
+    assert sorted(len(r["rows"]) for r in collect_batch(rows, ["k"], "seq", "v", 2000).collect()) == [500, 500, 2000, 2000]
+    sums = apply_to_windows(rows, "ts", "10 seconds", lambda f: f.groupby("k", as_index=False)["v"].sum(), "k long, v long")
+    assert sum(r["v"] for r in sums.collect()) == 5000 * 4999 // 2
+
+
 @pytest.mark.parametrize("spoil", [
     lambda c: c.pop("sinks"),
     lambda c: c.update(sinks=[]),
