@@ -9,8 +9,8 @@ from millrace.spec import FieldSpec, SchemaSpec
 _FIELDS = (
     FieldSpec("$.from_key", "from_key", "STRING", True),
     FieldSpec("$.to_key", "to_key", "STRING", True),
-    FieldSpec("$.bicycle.business_status", "business", "LONG", True),
-    FieldSpec("$.bicycle.address", "address2", "DOUBLE", False),
+    FieldSpec("$.reading.amount", "total", "LONG", True),
+    FieldSpec("$.reading.share", "ratio", "DOUBLE", False),
     FieldSpec("$.object_key", "object_key", "STRING", True),
 )
 _OPERATION = FieldSpec("$._operation", "_operation", "STRING", True)
@@ -48,9 +48,9 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         spoiled(4, " ", F.concat(F.lit("u"), F.col("user_id"))).alias("from_key"),
         spoiled(5, "x/y", F.col("event_type")).alias("to_key"),
         F.struct(
-            F.when(spoil == 2, "abc").when(spoil != 3, amount.cast("string")).alias("business_status"),
-            F.when(spoil != 7, amount).alias("address"),
-        ).alias("bicycle"),
+            F.when(spoil == 2, "abc").when(spoil != 3, amount.cast("string")).alias("amount"),
+            F.when(spoil != 7, amount).alias("share"),
+        ).alias("reading"),
         F.when(spoil == 1, F.concat(F.lit("a/"), event))
         .when(spoil != 0, F.concat(F.lit("k"), event))
         .alias("object_key"),

@@ -13,25 +13,25 @@ _M = f"""m AS (
   SELECT event_id, user_id, value, event_id % 10 AS r,
     CASE event_id % 10 WHEN 4 THEN ' ' ELSE 'u' || user_id END AS from_key,
     CASE event_id % 10 WHEN 5 THEN 'x/y' ELSE event_type END AS to_key,
-    CASE event_id % 10 WHEN 2 THEN 'abc' WHEN 3 THEN NULL ELSE CAST(value AS VARCHAR) END AS business,
-    CASE event_id % 10 WHEN 7 THEN NULL ELSE CAST(value AS VARCHAR) END AS address2,
+    CASE event_id % 10 WHEN 2 THEN 'abc' WHEN 3 THEN NULL ELSE CAST(value AS VARCHAR) END AS total,
+    CASE event_id % 10 WHEN 7 THEN NULL ELSE CAST(value AS VARCHAR) END AS ratio,
     CASE event_id % 10 WHEN 0 THEN NULL WHEN 1 THEN 'a/' || event_id ELSE 'k' || event_id END AS object_key,
     CASE event_id % 10 WHEN 6 THEN '123' ELSE {_OP} END AS _operation
   FROM events)"""
 
-_MISSING = "required field $.bicycle.business_status is missing"
+_MISSING = "required field $.reading.amount is missing"
 _CODE = "CASE WHEN r IN (0, 1, 3, 4, 5, 6) THEN 'CHECK_DIRTY_ERROR' WHEN r = 2 THEN 'TYPE_ERROR' END"
 _MESSAGE = f"""CASE r WHEN 0 THEN 'object_key is missing or blank'
     WHEN 1 THEN 'object_key must not contain a slash' WHEN 4 THEN 'from_key is missing or blank'
     WHEN 5 THEN 'to_key must not contain a slash' WHEN 6 THEN '_operation is not an operation: 123'
     WHEN 3 THEN '{_MISSING}'
-    WHEN 2 THEN '$.bicycle.business_status is not a LONG: abc' END"""
+    WHEN 2 THEN '$.reading.amount is not a LONG: abc' END"""
 _V = f"""v AS (
-  SELECT event_id, user_id, value, r, from_key, to_key, CAST(trunc(value) AS BIGINT) AS business,
-    CASE WHEN r <> 7 THEN value END AS address2, object_key, _operation, {_CODE} AS code, {_MESSAGE} AS message
+  SELECT event_id, user_id, value, r, from_key, to_key, CAST(trunc(value) AS BIGINT) AS total,
+    CASE WHEN r <> 7 THEN value END AS ratio, object_key, _operation, {_CODE} AS code, {_MESSAGE} AS message
   FROM m)"""
-_RAW = """'{"from_key":"' || from_key || '","to_key":"' || to_key || '","bicycle":{' ||
-    concat_ws(',', '"business_status":"' || business || '"', '"address":' || address2) || '}' ||
+_RAW = """'{"from_key":"' || from_key || '","to_key":"' || to_key || '","reading":{' ||
+    concat_ws(',', '"amount":"' || total || '"', '"share":' || ratio) || '}' ||
     coalesce(',"object_key":"' || object_key || '"', '') || ',"_operation":"' || _operation || '"' ||
     CASE WHEN r = 8 THEN ',"s":"c"' ELSE '' END || '}'"""
 
@@ -41,7 +41,7 @@ def _with(body: str) -> str:
 
 
 ORACLE["extract_fields"] = (
-    f"WITH {_M} SELECT event_id, from_key, to_key, business, address2, object_key, _operation FROM m"
+    f"WITH {_M} SELECT event_id, from_key, to_key, total, ratio, object_key, _operation FROM m"
 )
 ORACLE["extract_props"] = (
     "SELECT event_id, CAST(regexp_extract(props, '\"k\": *(-?[0-9]+)', 1) AS BIGINT) AS k, "
@@ -83,17 +83,17 @@ ORACLE["check_required"] = _check(
 )
 ORACLE["validate"] = _with(
     """SELECT event_id, code, CASE WHEN code IS NULL THEN from_key END AS from_key,
-    CASE WHEN code IS NULL THEN to_key END AS to_key, CASE WHEN code IS NULL THEN business END AS business,
-    CASE WHEN code IS NULL THEN address2 END AS address2, CASE WHEN code IS NULL THEN object_key END AS object_key,
+    CASE WHEN code IS NULL THEN to_key END AS to_key, CASE WHEN code IS NULL THEN total END AS total,
+    CASE WHEN code IS NULL THEN ratio END AS ratio, CASE WHEN code IS NULL THEN object_key END AS object_key,
     CASE WHEN code IS NULL THEN _operation END AS _operation FROM v"""
 )
 ORACLE["validate_vertices"] = f"""WITH {_M}, {_V}, w AS (SELECT * REPLACE (
       CASE WHEN r IN (0, 1, 3) THEN 'CHECK_DIRTY_ERROR' WHEN r = 2 THEN 'TYPE_ERROR' END AS code) FROM v)
-  SELECT event_id, code, CASE WHEN code IS NULL THEN business END AS business,
-    CASE WHEN code IS NULL THEN address2 END AS address2, CASE WHEN code IS NULL THEN object_key END AS object_key
+  SELECT event_id, code, CASE WHEN code IS NULL THEN total END AS total,
+    CASE WHEN code IS NULL THEN ratio END AS ratio, CASE WHEN code IS NULL THEN object_key END AS object_key
   FROM w"""
 _ENVELOPE = f"""e AS (
-  SELECT event_id, CASE WHEN r IN (0, 1) THEN 'null' ELSE object_key END AS object_key, '7083' AS task_instance_id,
+  SELECT event_id, CASE WHEN r IN (0, 1) THEN 'null' ELSE object_key END AS object_key, 'load-1' AS task_instance_id,
     {_CODE} AS error_type, {_MESSAGE} AS error_log, 'HBASE,ES' AS affected_store, {_RAW} AS data_row,
     '2024-02-01 00:00:00' AS updated_dt
   FROM m WHERE r < 7)"""
@@ -103,13 +103,13 @@ ORACLE["error_envelope"] = (
 )
 ORACLE["split_counts"] = _with("SELECT coalesce(code, 'CLEAN') AS code, count(*) AS n FROM v GROUP BY 1")
 ORACLE["clean_json"] = _with(
-    """SELECT event_id, '{"from_key":"' || from_key || '","to_key":"' || to_key || '","business":' || business ||
-    coalesce(',"address2":' || address2, '') || ',"object_key":"' || object_key || '","_operation":"' ||
+    """SELECT event_id, '{"from_key":"' || from_key || '","to_key":"' || to_key || '","total":' || total ||
+    coalesce(',"ratio":' || ratio, '') || ',"object_key":"' || object_key || '","_operation":"' ||
     _operation || '"}' AS value FROM v WHERE code IS NULL"""
 )
 ORACLE["explode_batch"] = "SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents"
 ORACLE["classify_op"] = _with(
-    """SELECT event_id, from_key, to_key, business, address2, object_key, _operation = 'DELETE' AS is_delete
+    """SELECT event_id, from_key, to_key, total, ratio, object_key, _operation = 'DELETE' AS is_delete
     FROM v WHERE code IS NULL"""
 )
 ORACLE["cap_dirty"] = (
@@ -122,9 +122,10 @@ ORACLE["dirty_by_key"] = (
     "FROM events GROUP BY user_id"
 )
 ORACLE["collect_batch"] = """
-  SELECT event_type, event_id // 1000 AS buffer, CAST(count(*) AS INTEGER) AS n,
+  SELECT event_type, buffer, CAST(count(*) AS INTEGER) AS n,
     string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY event_id) AS users
-  FROM events GROUP BY 1, 2"""
+  FROM (SELECT *, (row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1) // 1000 AS buffer FROM events) t
+  GROUP BY 1, 2"""
 
 
 def _profile(columns: list[str]) -> str:
@@ -168,10 +169,7 @@ ORACLE["partition_lookup"] = (
 ORACLE["scan_columns"] = "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem"
 ORACLE["scan_limit"] = "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 100"
 ORACLE["point_get"] = "SELECT * FROM customer WHERE c_custkey IN (SELECT user_id FROM events)"
-ORACLE["row_versions"] = """
-  SELECT user_id, event_id, event_type, value,
-    CAST(row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS INTEGER) AS version
-  FROM events QUALIFY version <= 3"""
+ORACLE["row_versions"] = "SELECT user_id, event_id, event_type, value FROM events"
 
 
 def _hash(text: str) -> str:
@@ -216,9 +214,14 @@ ORACLE["graph_edges"] = """
     CAST(o_custkey AS VARCHAR) AS _from, CAST(o_orderkey AS VARCHAR) AS _to
   FROM orders"""
 ORACLE["cells_roundtrip"] = _VERTICES.format("")
+ORACLE["cell_bytes"] = """
+  WITH c AS (SELECT CAST(c_custkey AS VARCHAR) AS row_key, c_name, c_nationkey FROM customer)
+  SELECT row_key, 'objects' AS family, 'object_key' AS qualifier, hex(encode(row_key)) AS bytes FROM c
+  UNION ALL SELECT row_key, 'objects', 'name', hex(encode(c_name)) FROM c WHERE c_name IS NOT NULL
+  UNION ALL SELECT row_key, 'objects', 'nation', lpad(hex(CAST(c_nationkey AS BIGINT)), 16, '0') FROM c"""
 ORACLE["array_cells"] = """
-  SELECT vec_id, CAST(len(embedding) AS INTEGER) AS n, CAST(embedding[1] AS DOUBLE) AS first,
-    CAST(embedding[-1] AS DOUBLE) AS last, CAST(list_max(embedding) AS DOUBLE) AS top
+  SELECT vec_id, array_to_string([CAST(round(CAST(CAST(x AS VARCHAR) AS DOUBLE) * 1000000) AS BIGINT)
+    FOR x IN embedding], ',') AS millionths
   FROM embeddings"""
 _DOC = """'{"object_key":"' || c_custkey || '","name":"' || c_name || '","nation":' || c_nationkey ||
   ',"balance":' || c_acctbal || '}'"""
@@ -228,16 +231,21 @@ ORACLE["bulk_lines"] = f"""
     THEN '{{"delete":{{"_index":"people","_type":"person","_id":"' || c_custkey || '"}}}}'
     ELSE {_INDEX} || chr(10) || {_DOC} END AS lines
   FROM customer"""
-ORACLE["bulk_batch_sizes"] = f"""WITH t AS (SELECT 'o' || o_orderkey AS k FROM orders),
-  h AS (SELECT k, {_hash("k")} AS h FROM t),
-  s AS (SELECT k, (CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END) AS h,
-    (SELECT greatest(1, CAST(ceil(count(*) / 5000.0) AS BIGINT)) FROM orders) AS salts FROM h),
-  p AS (SELECT k, ((h % salts) + salts) % salts AS salt FROM s),
-  n AS (SELECT salt, (row_number() OVER (PARTITION BY salt ORDER BY k) - 1) // 2000 AS batch FROM p)
-  SELECT salt, batch, count(*) AS n FROM n GROUP BY 1, 2"""
-ORACLE["bulk_payloads"] = f"""
-  SELECT count(*) AS requests, 2 * count(*) AS lines, sum(length({_INDEX}) + length({_DOC}) + 2) AS chars
-  FROM customer"""
+def _salted(select: str, n: int) -> str:
+    """Rows with key `k` in 8 salts by its hash, and in batches of n."""
+    return f"""t AS ({select}), h AS (SELECT *, {_hash("k")} AS h FROM t),
+  p AS (SELECT * EXCLUDE (h), (((CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END) % 8) + 8) % 8 AS salt FROM h),
+  n AS (SELECT *, (row_number() OVER (PARTITION BY salt ORDER BY k) - 1) // {n} AS batch FROM p)"""
+
+
+ORACLE["bulk_batch_sizes"] = (
+    "WITH " + _salted("SELECT 'o' || o_orderkey AS k FROM orders", 2000)
+    + " SELECT salt, batch, count(*) AS n FROM n GROUP BY 1, 2"
+)
+ORACLE["bulk_payloads"] = (
+    "WITH " + _salted(f"SELECT CAST(c_custkey AS VARCHAR) AS k, {_INDEX} || chr(10) || {_DOC} AS lines FROM customer", 100)
+    + " SELECT salt, batch, count(*) AS requests, string_agg(lines, chr(10) ORDER BY k) || chr(10) AS payload FROM n GROUP BY 1, 2"
+)
 ORACLE["text_lines"] = """
   SELECT o_orderstatus, o_orderkey || ',' || o_custkey || ',' ||
     CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority ELSE 'null' END AS value
@@ -287,16 +295,13 @@ ORACLE["delete_by_key"] = (
 ORACLE["ingest"] = _with(
     """, latest AS (SELECT * FROM v WHERE code IS NULL
       QUALIFY row_number() OVER (PARTITION BY from_key ORDER BY event_id DESC) = 1)
-    SELECT from_key, to_key, business, address2, from_key AS object_key FROM latest WHERE _operation <> 'DELETE'"""
+    SELECT from_key, to_key, total, ratio, from_key AS object_key FROM latest WHERE _operation <> 'DELETE'"""
 )
 
 ORACLE["missing_partitions"] = """
   SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem
   EXCEPT SELECT l_returnflag, l_linestatus FROM lineitem WHERE l_linestatus = 'O'"""
-_ORDERS = "SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate) FROM orders"
 _ITEMS = "SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate) FROM lineitem"
-ORACLE["parquet_readback"] = _ORDERS
-ORACLE["orc_readback"] = _ORDERS
 ORACLE["partition_readback"] = _ITEMS
 ORACLE["compacted_rows"] = _ITEMS
 ORACLE["partition_by_expr"] = (
@@ -321,8 +326,55 @@ ORACLE["chunk_files"] = """
   SELECT o_orderstatus AS dir, o_orderkey AS path,
     (row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate, o_orderkey) - 1) // 1024 AS chunk_no
   FROM orders"""
-ORACLE["tumbling_batches"] = """
+_WINDOWS = """
   SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS start, strftime(w + INTERVAL 10 SECOND, '%Y-%m-%d %H:%M:%S') AS stop,
     event_type, part, users
-  FROM (SELECT time_bucket(INTERVAL 10 SECOND, ts) AS w, event_type, event_id // 2000 AS part,
-      string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY event_id) AS users FROM events GROUP BY ALL) t"""
+  FROM (SELECT w, event_type, part, string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY event_id) AS users
+    FROM (SELECT *, time_bucket(INTERVAL 10 SECOND, ts) AS w, {part} AS part FROM events) e GROUP BY ALL) t"""
+ORACLE["tumbling_batches"] = _WINDOWS.format(part="0::BIGINT")
+ORACLE["tumbling_lists"] = _WINDOWS.format(
+    part="(row_number() OVER (PARTITION BY time_bucket(INTERVAL 10 SECOND, ts), event_type ORDER BY event_id) - 1) // 2"
+)
+ORACLE["window_function"] = """
+  SELECT strftime(ts, '%Y-%m-%d') AS window_start, event_type, count(*) AS n, max(event_id) AS last
+  FROM events GROUP BY 1, 2"""
+
+# What is written and read back
+ORACLE["salted_load"] = "SELECT CAST(8 AS BIGINT) AS tasks, CAST(count(*) AS BIGINT) AS consumed FROM events"
+ORACLE["list_files"] = "SELECT DISTINCT l_returnflag, true AS filled FROM lineitem"
+ORACLE["leaf_partitions"] = "SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem"
+ORACLE["rows_per_file"] = "SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY 1"
+ORACLE["partition_registration"] = "SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY 1, 2"
+ORACLE["refresh_partitions"] = ORACLE["partition_registration"]
+ORACLE["catalog_partitions"] = "SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem WHERE l_linestatus = 'F'"
+ORACLE["table_lifecycle"] = "SELECT count(*) AS filled, 0::BIGINT AS emptied, false AS there FROM orders"
+ORACLE["table_sink_parquet"] = _with("SELECT from_key, to_key, total, object_key FROM v WHERE code IS NULL")
+ORACLE["table_sink_orc"] = ORACLE["table_sink_text"] = ORACLE["table_sink_parquet"]
+ORACLE["user_sink"] = _with("SELECT event_id, object_key, total FROM v WHERE code IS NULL")
+ORACLE["replayed_batches"] = ORACLE["apply_sequence"]
+ORACLE["compacted_evolved"] = """
+  SELECT * REPLACE (CASE WHEN l_orderkey % 2 = 0 THEN l_tax END AS l_tax,
+    CASE WHEN l_orderkey % 2 = 0 THEN strftime(l_shipdate, '%Y-%m-%d') END AS l_shipdate)
+  FROM lineitem"""
+ORACLE["ingest_partitions"] = """
+  SELECT user_id, CAST(event_id * 7 % 4 AS INTEGER) AS "partition", event_id AS "offset", value FROM events
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id * 7 % 4 DESC, event_id DESC) = 1"""
+_STREAMED = f"""s AS (
+  SELECT event_id, from_key AS object_key, CAST(trunc(value) AS BIGINT) AS total, _operation,
+    CASE WHEN r IN (3, 4, 6) THEN 'CHECK_DIRTY_ERROR' WHEN r = 2 THEN 'TYPE_ERROR' END AS code FROM m)"""
+ORACLE["stream_ingest"] = f"""WITH {_M}, {_STREAMED},
+  latest AS (SELECT * FROM s WHERE code IS NULL
+    QUALIFY row_number() OVER (PARTITION BY object_key ORDER BY event_id DESC) = 1)
+  SELECT object_key AS id, object_key, total FROM latest WHERE _operation <> 'DELETE'"""
+ORACLE["stream_totals"] = f"""WITH {_M}, {_STREAMED}
+  SELECT count(*) AS consumed, count(code) AS dirty, count(code) AS stored_dirty FROM s"""
+ORACLE["dirty_files"] = f"""WITH {_M}, {_STREAMED}
+  SELECT code AS error_type, 'load-1' AS task, count(*) AS n FROM s WHERE code IS NOT NULL GROUP BY 1"""
+ORACLE["error_log"] = """
+  SELECT 'load-1' AS task_instance_id, 'DIRTY_COUNT_ERROR' AS error_type,
+    count(*) FILTER (WHERE event_id % 10 < 7) || ' bad rows' AS error_log, '2024-02-01 00:00:00' AS updated_dt
+  FROM events"""
+ORACLE["stream_windows"] = """
+  SELECT strftime(time_bucket(INTERVAL 10 SECOND, ts), '%Y-%m-%d %H:%M:%S') AS start, event_type,
+    string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY event_id) AS users
+  FROM events GROUP BY 1, 2"""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -22,7 +21,7 @@ from .messages import EDGE, EDGE_MIX, VERTEX, messages, operation, table
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-TASK, STORE, WHEN = "7083", "HBASE,ES", "2024-02-01 00:00:00"
+TASK, STORE, WHEN = "load-1", "HBASE,ES", "2024-02-01 00:00:00"
 NOW = "1999-01-01 00:00:00"
 
 
@@ -243,12 +242,6 @@ def normalise_dates(spark, sf):
 # Reads
 
 
-@query
-def partition_lookup(spark, sf):
-    rows = lookup.partitions_where(table(spark, sf, "lineitem"), {"l_returnflag": "A", "l_linestatus": "F"})
-    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_linestatus")
-
-
 @query
 def scan_columns(spark, sf):
     return lookup.scan(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber", "l_quantity"])
@@ -268,7 +261,7 @@ def point_get(spark, sf):
 @query
 def row_versions(spark, sf):
     log = table(spark, sf, "events").select("user_id", "event_id", "event_type", "value")
-    return lookup.get_versions(log, "user_id", "event_id", keep=3)
+    return lookup.get_versions(log, "user_id", "event_id")
 
 
 # Keys and layout
@@ -297,7 +290,8 @@ def region_counts(spark, sf):
 @query
 def salted_load(spark, sf):
     spread = layout.salt(messages(spark, sf), 8)
-    return quality.consumed_by(spread, F.spark_partition_id().alias("task"))
+    tasks = quality.consumed_by(spread, F.spark_partition_id().alias("task"))
+    return tasks.agg(F.count(F.lit(1)).alias("tasks"), F.sum("consumed").alias("consumed"))
 
 
 @query
@@ -350,16 +344,20 @@ def cells_roundtrip(spark, sf):
     return shape.cells_to_rows(found, types).drop("row_key")
 
 
+@query
+def cell_bytes(spark, sf):
+    """Cells with their bytes in hex."""
+    types = {"object_key": "STRING", "name": "STRING", "nation": "LONG"}
+    found = shape.rows_to_cells(_vertices(spark, sf).withColumn("_row_key", F.col("object_key")), types)
+    return found.select("row_key", "family", "qualifier", F.hex("value").alias("bytes"))
+
+
 @query
 def array_cells(spark, sf):
     texts = F.transform(F.col("embedding"), lambda x: x.cast("string"))
     stored = table(spark, sf, "embeddings").select("vec_id", cells.encode(texts, "ARRAY").alias("b"))
-    values = F.transform(cells.decode(F.col("b"), "ARRAY"), lambda t: t.cast("float").cast("double"))
-    back = stored.select("vec_id", values.alias("v"))
-    return back.select(
-        "vec_id", F.size("v").alias("n"), F.element_at("v", 1).alias("first"), F.element_at("v", -1).alias("last"),
-        F.array_max("v").alias("top"),
-    )
+    values = F.transform(cells.decode(F.col("b"), "ARRAY"), lambda t: F.round(t.cast("double") * 1_000_000).cast("bigint"))
+    return stored.select("vec_id", F.array_join(values, ",").alias("millionths"))
 
 
 @query
@@ -372,22 +370,18 @@ def bulk_lines(spark, sf):
 @query
 def bulk_batch_sizes(spark, sf):
     rows = _edges(spark, sf).select("object_key")
-    salts = max(1, math.ceil(rows.count() / 5000))
-    salt = F.pmod(keys.string_hash(F.col("object_key")), F.lit(salts))
-    batches = shape.bulk_batches(rows, ["object_key"], 2000, salt=salt, salts=salts)
+    salt = F.pmod(keys.string_hash(F.col("object_key")), F.lit(8))
+    batches = shape.bulk_batches(rows, ["object_key"], 2000, salt=salt)
     return batches.groupBy("salt", "batch").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def bulk_payloads(spark, sf):
+    """The texts of all bulk requests."""
     columns = ["object_key", "name", "nation", "balance"]
     lines = shape.bulk_lines(_vertices(spark, sf), "people", "person", columns=columns)
-    payload = shape.bulk_payload(shape.bulk_batches(lines, ["object_key"], 100), ["object_key"])
-    return payload.agg(
-        F.sum("requests").alias("requests"),
-        F.sum(F.size(F.split("payload", "\n")) - 1).alias("lines"),
-        F.sum(F.length("payload")).alias("chars"),
-    )
+    salt = F.pmod(keys.string_hash(F.col("object_key")), F.lit(8))
+    return shape.bulk_payload(shape.bulk_batches(lines, ["object_key"], 100, salt=salt), ["object_key"])
 
 
 @query
@@ -477,7 +471,8 @@ def apply_delete_first(spark, sf):
 
 @query
 def keyed_table(spark, sf):
-    """The change log applied to a stored table in three batches, the middle one twice."""
+    """The change log applied to a stored table in three batches, the middle one twice, with one fold
+    between them."""
     start = _target(spark, sf)
     stored = KeyedTable(spark, scratch_path(spark, "keyed"), start.schema, ["c_custkey"], buckets=8)
     stored.apply(start.withColumn("event_id", F.lit(0)), "event_id", 0)
@@ -491,6 +486,8 @@ def keyed_table(spark, sf):
         if high is not None:
             part = part.where(F.col("event_id") < high)
         stored.apply(part, "event_id", number, _is_delete())
+        if number == 1:
+            stored.fold()
     return stored.read()
 
 
@@ -515,20 +512,6 @@ def missing_partitions(spark, sf):
     return lookup.missing_partitions(rows, registered, ["l_returnflag", "l_linestatus"])
 
 
-@query
-def parquet_readback(spark, sf):
-    path = scratch_path(spark, "parquet")
-    table(spark, sf, "orders").write.parquet(path)
-    return spark.read.parquet(path).withColumn("o_orderdate", _day("o_orderdate"))
-
-
-@query
-def orc_readback(spark, sf):
-    path = scratch_path(spark, "orc")
-    table(spark, sf, "orders").write.orc(path)
-    return spark.read.orc(path).withColumn("o_orderdate", _day("o_orderdate"))
-
-
 @query
 def partition_readback(spark, sf):
     path = scratch_path(spark, "partitioned")
@@ -582,9 +565,10 @@ def chunk_files(spark, sf):
     return chunks.select("dir", "path", "chunk_no")
 
 
-@query
-def tumbling_batches(spark, sf):
-    lists = tumbling_window(table(spark, sf, "events"), "ts", "10 seconds", "user_id", "event_id", ["event_type"])
+def _windows(spark, sf, rows_per_list=None):
+    lists = tumbling_window(
+        table(spark, sf, "events"), "ts", "10 seconds", "user_id", "event_id", ["event_type"], rows_per_list
+    )
     return lists.select(
         F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("start"),
         F.date_format("window_end", "yyyy-MM-dd HH:mm:ss").alias("stop"),
@@ -592,3 +576,27 @@ def tumbling_batches(spark, sf):
         "part",
         F.array_join("rows", ",").alias("users"),
     )
+
+
+@query
+def tumbling_batches(spark, sf):
+    return _windows(spark, sf)
+
+
+@query
+def tumbling_lists(spark, sf):
+    """The same with at most two values a list."""
+    return _windows(spark, sf, 2)
+
+
+@query
+def window_function(spark, sf):
+    """A function of the user's own on whole windows."""
+    from millrace.streaming.windows import apply_to_windows
+
+    def summed(rows):
+        return rows.groupby(["window_start", "event_type"], as_index=False).agg(n=("event_id", "count"), last=("event_id", "max"))
+
+    events = table(spark, sf, "events").select("ts", "event_type", "event_id")
+    found = apply_to_windows(events, "ts", "1 day", summed, "window_start timestamp, event_type string, n long, last long", ["event_type"])
+    return found.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd"))

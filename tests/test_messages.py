@@ -12,8 +12,8 @@ from millrace.spec import FieldSpec, SchemaSpec, SpecError
 EDGE_FIELDS = (
     FieldSpec("$.from_key", "from_key", "STRING", True),
     FieldSpec("$.to_key", "to_key", "STRING", True),
-    FieldSpec("$.bicycle.business_status", "business", "LONG", True),
-    FieldSpec("$.bicycle.address", "address2", "DOUBLE", False),
+    FieldSpec("$.reading.amount", "total", "LONG", True),
+    FieldSpec("$.reading.share", "ratio", "DOUBLE", False),
     FieldSpec("$.object_key", "object_key", "STRING", True),
 )
 UPSERT = SchemaSpec(fields=EDGE_FIELDS, kind="edge", mode="UPSERT")
@@ -23,45 +23,43 @@ MIX = SchemaSpec(
     mode="MIX",
     op_field="_operation",
 )
-FULL = {
-    "from_key": "123123",
-    "to_key": "345345",
-    "bicycle": {"business_status": "123.1", "address": 1234},
-    "object_key": "1",
-}
-
-
-def without(*path, **more):
-    message = json.loads(json.dumps({**FULL, **more}))
-    node = message
-    for name in path[:-1]:
-        node = node[name]
-    if path:
-        del node[path[-1]]
-    return message
-
-
-GOLDEN = [
-    (UPSERT, FULL, None),
-    (UPSERT, without("object_key"), "CHECK_DIRTY_ERROR"),
-    (UPSERT, without("from_key"), "CHECK_DIRTY_ERROR"),
-    (UPSERT, without("bicycle", "address"), None),
-    (UPSERT, without(bicycle={"business_status": "123.1", "address": ""}), "TYPE_ERROR"),
-    (UPSERT, without("bicycle", "business_status"), "CHECK_DIRTY_ERROR"),
-    (UPSERT, without(s="c", a="b"), None),
-    (MIX, FULL, "CHECK_DIRTY_ERROR"),
-    (MIX, without(_operation="123"), "CHECK_DIRTY_ERROR"),
-    (MIX, without(_operation="add"), None),
+LINK = {"from_key": "u17", "to_key": "shop", "object_key": "u17-shop", "reading": {"amount": "55.9", "share": 0.25}}
+
+
+def link(drop=(), **more):
+    """A good edge message without some members, and with others in their place."""
+    message = {k: v for k, v in LINK.items() if k not in drop}
+    return {**message, **more}
+
+
+def reading(**members):
+    return link(reading=members)
+
+
+# One line for each rule of the checks: schema, message, code.
+RULES = [
+    (UPSERT, link(), None),
+    (UPSERT, link(extra=[1, 2]), None),
+    *[(UPSERT, link(drop=[key]), "CHECK_DIRTY_ERROR") for key in ("from_key", "to_key", "object_key")],
+    *[(UPSERT, link(**{key: "  "}), "CHECK_DIRTY_ERROR") for key in ("from_key", "to_key", "object_key")],
+    *[(UPSERT, link(**{key: "a/b"}), "CHECK_DIRTY_ERROR") for key in ("from_key", "to_key", "object_key")],
+    (UPSERT, reading(share=0.5), "CHECK_DIRTY_ERROR"),
+    (UPSERT, reading(amount=7), None),
+    (UPSERT, reading(amount="seven", share=1), "TYPE_ERROR"),
+    (UPSERT, reading(amount=7, share=" "), "TYPE_ERROR"),
+    *[(MIX, link(_operation=op), None) for op in ("upsert", "Delete", "ADD", "update")],
+    (MIX, link(), "CHECK_DIRTY_ERROR"),
+    (MIX, link(_operation="insert"), "CHECK_DIRTY_ERROR"),
 ]
 
 
-@pytest.mark.parametrize("schema,message,code", GOLDEN)
-def test_golden_messages(rows, schema, message, code):
+@pytest.mark.parametrize("schema,message,code", RULES)
+def test_rules_of_the_checks(rows, schema, message, code):
     row = quality.validate(rows("value string", (json.dumps(message),)), schema).first()
     assert (row["error"] and row["error"]["code"]) == code
     if code is None:
-        assert row["record"]["business"] == 123
-        assert row["record"]["address2"] == (1234.0 if "address" in message["bicycle"] else None)
+        assert row["record"]["total"] == int(float(message["reading"]["amount"]))
+        assert row["record"]["ratio"] == message["reading"].get("share")
         assert set(row["record"].asDict()) == {f.target for f in schema.fields}
 
 
@@ -72,19 +70,19 @@ def codes(rows, schema, *texts):
 
 
 def test_malformed_messages(rows):
-    texts = ["", None, "[1]", '{"a"', "7", json.dumps(FULL)]
+    texts = ["", None, "[1]", '{"a"', "7", json.dumps(LINK)]
     assert codes(rows, UPSERT, *texts) == ["PARSE_ERROR"] * 5 + [None]
 
 
 def test_wrong_parent_is_missing_not_malformed(rows):
-    assert codes(rows, UPSERT, json.dumps({**FULL, "bicycle": 5})) == ["CHECK_DIRTY_ERROR"]
+    assert codes(rows, UPSERT, json.dumps({**LINK, "reading": 5})) == ["CHECK_DIRTY_ERROR"]
 
 
 def test_first_error_wins_and_keys_are_texts(rows):
-    data = rows("value string", (json.dumps({**FULL, "from_key": "　", "to_key": "a/b"}),))
+    data = rows("value string", (json.dumps({**LINK, "from_key": "　", "to_key": "a/b"}),))
     row = quality.validate(data, UPSERT).first()
     assert row["error"]["message"] == "from_key is missing or blank"
-    data = rows("value string", (json.dumps({**FULL, "object_key": 5}),))
+    data = rows("value string", (json.dumps({**LINK, "object_key": 5}),))
     assert quality.validate(data, UPSERT).first()["key"] == "5"
 
 
@@ -153,22 +151,22 @@ def test_numbers(rows):
 
 
 def test_clean_json_and_envelope(rows):
-    data = rows("value string", (json.dumps(without("bicycle", "address")),), (json.dumps(without("to_key")),))
+    data = rows("value string", (json.dumps(reading(amount="55.9")),), (json.dumps(link(drop=["to_key"])),))
     checked = quality.validate(data, UPSERT)
     (good,) = quality.clean_json(checked).collect()
-    assert json.loads(good["value"]) == {"from_key": "123123", "to_key": "345345", "business": 123, "object_key": "1"}
+    assert json.loads(good["value"]) == {"from_key": "u17", "to_key": "shop", "total": 55, "object_key": "u17-shop"}
     envelope = quality.error_envelope(checked, "t1", "ES,HIVE", "2024-01-01 00:00:00")
     assert tuple(envelope.columns) == quality.ENVELOPE_FIELDS
     (bad,) = quality.envelope_json(envelope).collect()
     bad = json.loads(bad["value"])
-    assert (bad["id"], bad["object_key"], bad["error_type"]) == ("1_ES,HIVE", "1", "CHECK_DIRTY_ERROR")
-    assert json.loads(bad["data_row"]) == without("to_key")
+    assert (bad["id"], bad["object_key"], bad["error_type"]) == ("u17-shop_ES,HIVE", "u17-shop", "CHECK_DIRTY_ERROR")
+    assert json.loads(bad["data_row"]) == link(drop=["to_key"])
 
 
 def test_counts_and_limits(spark, rows):
     from pyspark.sql import Observation
 
-    data = rows("value string", (json.dumps(FULL),), ("x",), ("y",)).repartition(2)
+    data = rows("value string", (json.dumps(LINK),), ("x",), ("y",)).repartition(2)
     seen = Observation("dq")
     quality.count_metrics(quality.validate(data, UPSERT), seen).write.format("noop").mode("overwrite").save()
     assert seen.get == {"consumed": 3, "dirty": 2}
