@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.keys import LOGIC_PARTITIONS, region_of, split_points
+from ..functions.keys import LOGIC_PARTITIONS, region_of
 from .shape import ROW_KEY
 
 
@@ -19,10 +19,6 @@ def spread_by_region(df: DataFrame, n_physical: int = 16, key: str = ROW_KEY) ->
     return df.repartitionByRange(n_physical, key).sortWithinPartitions(key)
 
 
-def region_bounds(n_logic: int = LOGIC_PARTITIONS, n_physical: int = 16) -> list[str]:
-    return split_points(n_logic, n_physical)
-
-
 def salt(df: DataFrame, n: int) -> DataFrame:
     """Rows spread evenly over `n` tasks, whatever their keys."""
     return df.repartition(n)

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
 from contextlib import contextmanager
 from contextvars import ContextVar
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +31,21 @@ def local_session(cores: str = "*", app: str = "millrace", **conf: str) -> Spark
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers, once for an application, so that functions on rows find their
+    module also where it is not installed."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        root = Path(__file__).resolve().parent
+        if root.is_dir():  # not where the package itself came in an archive
+            base = f"{tempfile.mkdtemp(prefix='millrace-')}/millrace"
+            context.addPyFile(shutil.make_archive(base, "zip", root.parent, root.name))
+        _shipped.add(context.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names. Where none is named, one process gets a temporary folder;
     on a cluster other machines could not read that, so it is an error there."""

@@ -69,6 +69,11 @@ def test_row_numbers_and_chunks(spark):
     assert sorted(r["count"] for r in sizes if r["dir"] == "hot") == [4] + [16] * 6
 
 
+def test_files_sorted_by_age(rows):
+    frame = rows("dir string, path string, mtime int", ("b", "x", 2), ("a", "y", 5), ("a", "z", 1))
+    assert [r["path"] for r in grouping.sort_files(frame).collect()] == ["z", "y", "x"]
+
+
 def test_age_rule(rows):
     frame = rows("path string, age int", ("a", 10), ("b", 59), ("c", 60)).select(
         "path", (F.lit(LATER) - F.make_dt_interval(secs=F.col("age").cast("decimal(18,6)"))).alias("mtime")
