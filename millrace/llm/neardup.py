@@ -208,8 +208,8 @@ def similar(pairs: list[tuple[np.ndarray, np.ndarray]], least: float = SIMILARIT
 
 
 def sketched(docs: DataFrame, ident: str, text: str) -> DataFrame:
-    """`_id, _digest, _sketch, _words` of every row. The words are 32-bit hashes; without words or
-    text there is no sketch."""
+    """`_id, _digest, _sketch, _words, _n` of every row. The words are 32-bit hashes, `_n` is their
+    number; without words or text there is no sketch."""
     rows = docs.select(F.col(ident).cast("long").alias("_id"), F.md5(text).alias("_digest"), F.col(text).alias("_text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,37 +218,41 @@ def sketched(docs: DataFrame, ident: str, text: str) -> DataFrame:
                 hashes = [word_hashes(v.as_py() or "") for v in batch.column("_text")]
                 sketches = [sketch(w).view(np.int64) if len(w) else None for w in hashes]
                 words = [(w >> np.uint64(32)).astype(np.uint32).tobytes() for w in hashes]
-                columns = [pa.array(sketches, pa.list_(pa.int64())), pa.array(words, pa.binary())]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("_id"), batch.column("_digest"), *columns], names=["_id", "_digest", "_sketch", "_words"]
-                )
+                sizes = pa.array([len(w) for w in hashes], pa.int64())
+                columns = [pa.array(sketches, pa.list_(pa.int64())), pa.array(words, pa.binary()), sizes]
+                names = ["_id", "_digest", "_sketch", "_words", "_n"]
+                yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_digest"), *columns], names=names)
 
-    return rows.mapInArrow(work, "_id long, _digest string, _sketch array<long>, _words binary")
+    return rows.mapInArrow(work, "_id long, _digest string, _sketch array<long>, _words binary, _n long")
 
 
-def candidate_pairs(rows: DataFrame) -> DataFrame:
-    """`a, b` (a < b) of documents `_id, _sketch` that share a bucket, one pair for each member."""
+def candidate_pairs(rows: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """`a, b` (a < b) of documents `_id, _sketch, _n` that share a bucket, one pair for each member.
+    Pairs whose numbers of words alone rule out the similarity are left out."""
     runs = []
     for length in (1, 2, 4):
         for start in range(0, SKETCHES, length):
             parts = [F.get("_sketch", F.lit(start + i)) for i in range(length)]
             runs.append(F.struct(F.xxhash64(F.lit(length * 1000 + start), *parts).alias("key"), F.lit(length == 2).alias("by_hash")))
-    members = rows.select("_id", F.explode(F.array(*runs)).alias("_run")).select("_id", "_run.key", "_run.by_hash")
+    members = rows.select("_id", "_n", F.explode(F.array(*runs)).alias("_run")).select("_id", "_n", "_run.key", "_run.by_hash")
     # Ids are put in order as they are, or with bits turned over by the key; both give the id back.
     mask = F.when(F.col("by_hash"), F.xxhash64("key")).otherwise(F.lit(0))
+    order = F.col("_id").bitwiseXOR(mask)
     heads = members.groupBy("key", "by_hash").agg(
-        F.min(F.col("_id").bitwiseXOR(mask)).alias("low"), F.count(F.lit(1)).alias("n")
+        F.min(order).alias("low"), F.min_by("_n", order).alias("head_n"), F.count(F.lit(1)).alias("n")
     )
-    heads = heads.where("n > 1").select("key", F.col("low").bitwiseXOR(mask).alias("head"))
-    pairs = members.select("_id", "key").join(heads, "key").where("_id <> head")
+    heads = heads.where("n > 1").select("key", F.col("low").bitwiseXOR(mask).alias("head"), "head_n")
+    pairs = members.select("_id", "_n", "key").join(heads, "key").where("_id <> head")
+    pairs = pairs.where(F.least("_n", "head_n") >= F.greatest("_n", "head_n") * least - 1e-6)
     return pairs.select(F.least("_id", "head").alias("a"), F.greatest("_id", "head").alias("b")).distinct()
 
 
 def verified(pairs: DataFrame, words: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """`a, b, similarity` of the pairs that are similar enough. `words` has `_id, _words`."""
     ids = pairs.select(F.col("a").alias("_id")).union(pairs.select(F.col("b").alias("_id"))).distinct()
-    needed = written(words.join(ids, "_id", "left_semi").dropDuplicates(["_id"]), "words")
-    side = lambda n: needed.select(F.col("_id").alias(n), F.col("_words").alias(f"_{n}"))
+    # Merge joins at every size: which ids are needed grows with the documents.
+    needed = written(words.hint("merge").join(ids, "_id", "left_semi").dropDuplicates(["_id"]), "words")
+    side = lambda n: needed.select(F.col("_id").alias(n), F.col("_words").alias(f"_{n}")).hint("merge")
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "_a", "_b")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,9 +275,9 @@ def groups(docs: DataFrame, ident: str = "doc_id", text: str = "text", least: fl
     rows = written(sketched(docs, ident, text), "sketches")
     copies = rows.where(F.col("_digest").isNotNull()).groupBy("_digest").agg(F.min("_id").alias("_rep"))
     copies = written(copies, "copies")
-    of_text = rows.where(F.col("_sketch").isNotNull()).select("_id", "_digest", "_sketch")
-    singles = written(of_text.join(copies, "_digest").where("_id = _rep").select("_id", "_sketch"), "singles")
-    pairs = written(candidate_pairs(singles), "pairs")
+    of_text = rows.where(F.col("_sketch").isNotNull()).select("_id", "_digest", "_sketch", "_n")
+    singles = written(of_text.join(copies, "_digest").where("_id = _rep").select("_id", "_sketch", "_n"), "singles")
+    pairs = written(candidate_pairs(singles, least), "pairs")
     with few_records(docs.sparkSession):
         links = written(verified(pairs, rows.select("_id", "_words"), least), "links")
     roots = written(components(links.select("a", "b")), "roots")
