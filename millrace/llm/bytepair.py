@@ -26,7 +26,7 @@ from .chars import LETTER, SPACE, char_classes, code_points, few_rows
 
 NO_RANK = np.int32(2**31 - 1)
 LONG = 512
-MOST_KNOWN = 400_000  # pieces a worker remembers; it forgets all of them when there are more
+MOST_KNOWN = 200_000  # pieces a worker remembers; it forgets all of them when there are more
 CELLS = 1 << 20  # of a matrix
 
 _tables: dict[int, tuple] = {}
@@ -239,9 +239,16 @@ def encode_texts(texts: list[str | None], lines: bytes) -> tuple[np.ndarray, np.
     return np.frombuffer(b"".join(ids), np.int32), begins
 
 
-def encode(docs: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """`docs` with the token ids of the text. The rank file (a few MB at most) goes to the tasks with
-    the function."""
+def decode_ids(column: pa.ListArray, lines: bytes) -> list[bytes]:
+    """The bytes of each list of ids; of null none."""
+    by_id = _table(lines)[2]
+    flat, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+    return [b"".join(map(by_id.__getitem__, flat[a:b].tolist())) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
+
+def encode(docs: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
+    """`docs` with the token ids of the text, and in the same pass the bytes that the ids decode to if
+    `decoded` names a column. The rank file (a few MB at most) goes to the tasks with the function."""
     with open(ranks_path, "rb") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
 
@@ -250,10 +257,15 @@ def encode(docs: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids
             for batch in few_rows(whole, text):
                 flat, begins = encode_texts(batch.column(text).to_pylist(), shared.value)
                 lists = pa.ListArray.from_arrays(begins.astype(np.int32), flat)
-                yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, ids])
+                columns, names = [*batch.columns, lists], [*batch.schema.names, ids]
+                if decoded:
+                    columns.append(pa.array(decode_ids(lists, shared.value), pa.binary()))
+                    names.append(decoded)
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    schema = T.StructType([*[f for f in docs.schema.fields], T.StructField(ids, T.ArrayType(T.IntegerType()))])
-    return docs.mapInArrow(work, schema)
+    added = [T.StructField(ids, T.ArrayType(T.IntegerType()))]
+    added += [T.StructField(decoded, T.BinaryType())] if decoded else []
+    return docs.mapInArrow(work, T.StructType([*docs.schema.fields, *added]))
 
 
 def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -262,14 +274,9 @@ def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids", decoded: str =
         shared = encoded.sparkSession.sparkContext.broadcast(file.read())
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_id = _table(shared.value)[2]
         for batch in batches:
-            column = batch.column(ids)
-            flat, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
-            parts = [
-                b"".join(map(by_id.__getitem__, flat[a:b].tolist())) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())
-            ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(parts, pa.binary())], names=[*batch.schema.names, decoded])
+            parts = pa.array(decode_ids(batch.column(ids), shared.value), pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, parts], names=[*batch.schema.names, decoded])
 
     schema = T.StructType([*encoded.schema.fields, T.StructField(decoded, T.BinaryType())])
     return encoded.mapInArrow(work, schema)

@@ -60,3 +60,11 @@ def few_records(spark, most: int = 500):
         yield
     finally:
         spark.conf.set(name, before)
+
+
+def small_batches(spark, most: int = 1000) -> None:
+    """Rows of whole texts go to Python in smaller batches for the rest of the session; for queries and
+    pipelines, whose results are evaluated later."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= most:
+        spark.conf.set(name, str(most))

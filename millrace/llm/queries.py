@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import bytepair, html_text, langid, mixing, neardup, neighbours, quality, sharding, topk, urls
+from .chars import small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,6 +28,8 @@ def query(build: Query) -> Query:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; its texts are handed to Python in small batches."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -93,8 +96,8 @@ def op10_kd_top_k(spark, sf):
 def op8_byte_pairs(spark, sf):
     """Token ids of every text and their decoding, as digests."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = bytepair.encode(table(spark, sf, "documents").select("doc_id", "text"), path)
-    decoded = bytepair.decode(encoded.select("doc_id", "ids"), path)
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    decoded = bytepair.encode(docs, path, decoded="decoded")
     return decoded.select("doc_id", *[c.alias(n) for n, c in bytepair.digests(decoded).items()])
 
 
