@@ -271,9 +271,12 @@ def verified(pairs: DataFrame, words: DataFrame, least: float = SIMILARITY) -> D
 def groups(docs: DataFrame, ident: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
     """`ident, class_id, class_size, links` for every row: the smallest id of its group, the number of
     rows in the group, and with how many different texts a comparison linked its text. `class_id` is
-    null where no row of a group has an id."""
+    null where no row of a group has an id; a row without text is a group of its own, also beside another
+    with its id."""
     rows = written(sketched(docs, ident, text), "sketches")
-    copies = rows.where(F.col("_digest").isNotNull()).groupBy("_digest").agg(F.min("_id").alias("_rep"))
+    copies = rows.where(F.col("_digest").isNotNull()).groupBy("_digest").agg(
+        F.min("_id").alias("_rep"), F.count(F.lit(1)).alias("_rows")
+    )
     copies = written(copies, "copies")
     of_text = rows.where(F.col("_sketch").isNotNull()).select("_id", "_digest", "_sketch", "_n")
     singles = written(of_text.join(copies, "_digest").where("_id = _rep").select("_id", "_sketch", "_n"), "singles")
@@ -286,18 +289,22 @@ def groups(docs: DataFrame, ident: str = "doc_id", text: str = "text", least: fl
     classed = copies.join(roots, copies["_rep"] == roots["node"], "left").drop("node").join(
         degree, F.col("_rep") == degree["node"], "left"
     )
-    classed = classed.select(
-        "_digest", F.coalesce("root", "_rep").alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("links")
+    classed = written(
+        classed.select(
+            "_digest", "_rows", F.coalesce("root", "_rep").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links")
+        ),
+        "classed",
     )
-    placed = rows.select("_id", "_digest").join(classed, "_digest", "left")
-    placed = placed.withColumn("class_id", F.when(F.col("_digest").isNull(), F.col("_id")).otherwise(F.col("class_id")))
-    sizes = placed.where("class_id is not null").groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size"))
-    counted = placed.join(sizes, "class_id", "left")
-    return counted.select(
+    # Written, so that Spark may split a large group in the joins that hand its size to its rows.
+    sizes = classed.groupBy("class_id").agg(F.sum("_rows").alias("class_size"))
+    sized = written(classed.join(written(sizes, "sizes"), "class_id", "left").drop("_rows"), "sized")
+    placed = rows.select("_id", "_digest").join(sized, "_digest", "left")
+    no_text = F.col("_digest").isNull()
+    return placed.select(
         F.col("_id").alias(ident),
-        "class_id",
-        F.coalesce("class_size", F.lit(1)).alias("class_size"),
-        F.coalesce("links", F.lit(0)).alias("links"),
+        F.when(no_text, F.col("_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(F.col("class_id").isNull(), 1).otherwise(F.col("class_size")).cast("long").alias("class_size"),
+        F.coalesce("links", F.lit(0)).cast("long").alias("links"),
     )
 
 
