@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -40,7 +41,7 @@ def packed(
     blocks = max(1, math.ceil(total / per_block))
     has_bound = "_bound" in rows.columns
 
-    def pack(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def pack(key: tuple[Any, ...], frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("_id", kind="stable")
         ids = frame["_id"].to_numpy(np.int64)
         matrix = np.stack(frame["_v"].to_numpy()).astype(np.float64)
