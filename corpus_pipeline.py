@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm import bytepair, langid, mixing, neardup, quality
-from millrace.llm.chars import small_batches
+from millrace.llm.chars import prepared
 from millrace.llm.queries import held_out, table
 from millrace.session import written
 
@@ -30,7 +30,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are in one of the learned languages, with a probability of at least one half."""
-    small_batches(spark)
+    prepared(spark)
     model = langid.train(docs, ~held_out("doc_id"))
     found = langid.predict(docs, model, lang_pred="_lang", score="_certainty")
     known = (F.col("_lang") != langid.UNKNOWN) & (F.col("_certainty") >= LEAST_CERTAINTY)
@@ -39,7 +39,7 @@ def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group."""
-    small_batches(spark)
+    prepared(spark)
     return neardup.one_of_each(docs)
 
 
@@ -50,7 +50,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, checked by decoding."""
-    small_batches(spark)
+    prepared(spark)
     path = public_tokenizers.path(RANKS)
     texts = docs.select("doc_id", "source", "lang", "text")
     decoded = bytepair.encode(texts, path, decoded="decoded")

@@ -11,6 +11,8 @@ import pyarrow as pa
 import pyarrow.compute
 import regex
 
+from ..session import ship_package
+
 SPACE, LETTER, DIGIT, OTHER = range(4)
 _classes: list[np.ndarray] = []
 
@@ -62,9 +64,10 @@ def few_records(spark, most: int = 500):
         spark.conf.set(name, before)
 
 
-def small_batches(spark, most: int = 1000) -> None:
-    """Rows of whole texts go to Python in smaller batches for the rest of the session; for queries and
-    pipelines, whose results are evaluated later."""
+def prepared(spark, most: int = 1000) -> None:
+    """What queries and pipelines need of a session, whose results are evaluated later: this package on
+    the workers, and rows of whole texts handed to Python in smaller batches."""
+    ship_package(spark)
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(name)) <= most:
         spark.conf.set(name, str(most))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import bytepair, html_text, langid, mixing, neardup, neighbours, quality, sharding, topk, urls
-from .chars import small_batches
+from .chars import prepared
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,7 +29,7 @@ def query(build: Query) -> Query:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table; its texts are handed to Python in small batches."""
-    small_batches(spark)
+    prepared(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
