@@ -63,7 +63,8 @@ def test_slots_move_only_from_full_to_bare_shards():
     assert max(totals) - min(totals) <= 5
     grown = sharding.rebalanced(edited, load, 9)
     moved = [s for s in range(512) if grown[s] != edited[s]]
-    assert moved and sum(load[s] for s in moved if grown[s] != 8) < 100
+    # Nearly all that moves goes to the new shard; the rest are last edits between the others.
+    assert sum(load[s] for s in moved if grown[s] != 8) * 10 < sum(load[s] for s in moved)
     assert sharding.rebalanced(edited, load, 8) == edited
 
 
