@@ -1,17 +1,19 @@
 """Near-duplicate documents by Order MinHash and banded alignment.
 
-Words are runs of letters and digits in lower case. Every run of five words is a k-mer, labelled with its
+Words are runs of letters and digits in lower case. Runs of words are k-mers, labelled with their
 occurrence in the text. Each of `SKETCHES` hash functions picks the two labelled k-mers of smallest hash
 and keeps them in the order of the text, so a sketch agrees when both the k-mers and their order do: the
 chance of that follows the edit similarity (Marcais et al., 2019). Documents meet in buckets of equal
-sketches, and of runs of two and four equal sketches. In every bucket each document is compared with
-one: the smallest id, or for runs of two one by hash. A pair counts when a banded alignment of the
+sketches. In every bucket each document is first compared with the smallest id. After that all pairs of
+a bucket that no chain of links joins yet are looked at, tile by tile, and compared unless their shared
+words rule them out. A pair counts when a banded alignment of the
 words finds an edit similarity of at least `SIMILARITY`, 1 - distance / longer length. Counts of shared
 words and word pairs, which bound the distance from below, spare most alignments of pairs that are not
 similar. Groups are the connected components of the pairs that count.
 
-Equal texts are collapsed first and need no comparison. No bucket is ever expanded into all its pairs,
-and none is cut: hot buckets give one pair for each member.
+Equal texts are collapsed first and need no comparison. No bucket is cut: a hot bucket whose members are
+like its head gives one pair for each, and one of members unlike each other is read as tiles of about
+`TILE` documents, every tile with every other.
 
 Defined results: null text is alone in its group; texts without a word form groups by equal text; a text
 of fewer than five words is one k-mer; very long texts are read whole, in slices; rows of one id are one
@@ -33,6 +35,7 @@ from .components import components
 
 K, PICKED, SKETCHES, SIMILARITY = 5, 2, 32, 0.8
 BAND, CELLS = 16, 1 << 21
+TILE, TILE_WORDS = 64, 1 << 16  # documents and words of a tile, about
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = mixed(np.arange(1, SKETCHES + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -226,25 +229,102 @@ def sketched(docs: DataFrame, ident: str, text: str) -> DataFrame:
     return rows.mapInArrow(work, "_id long, _digest string, _sketch array<long>, _words binary, _n long")
 
 
+def buckets(rows: DataFrame) -> DataFrame:
+    """`key, _id, _n, head, head_n` of documents `_id, _sketch, _n` in each bucket of more than one; the
+    head is the smallest id."""
+    members = rows.select("_id", "_n", F.posexplode("_sketch").alias("_at", "_value"))
+    members = members.select("_id", "_n", F.xxhash64("_at", "_value").alias("key"))
+    heads = members.groupBy("key").agg(
+        F.min("_id").alias("head"), F.min_by("_n", "_id").alias("head_n"), F.count(F.lit(1)).alias("n")
+    )
+    return members.join(heads.where("n > 1").drop("n"), "key")
+
+
+def head_pairs(shared: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """`a, b` (a < b) of the members of `buckets` and their heads. Pairs whose numbers of words alone rule
+    out the similarity are left out."""
+    pairs = shared.where("_id <> head").where(F.least("_n", "head_n") >= F.greatest("_n", "head_n") * least - 1e-6)
+    return pairs.select(F.col("head").alias("a"), F.col("_id").alias("b")).distinct()
+
+
 def candidate_pairs(rows: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """`a, b` (a < b) of documents `_id, _sketch, _n` that share a bucket, one pair for each member.
-    Pairs whose numbers of words alone rule out the similarity are left out."""
-    runs = []
-    for length in (1, 2, 4):
-        for start in range(0, SKETCHES, length):
-            parts = [F.get("_sketch", F.lit(start + i)) for i in range(length)]
-            runs.append(F.struct(F.xxhash64(F.lit(length * 1000 + start), *parts).alias("key"), F.lit(length == 2).alias("by_hash")))
-    members = rows.select("_id", "_n", F.explode(F.array(*runs)).alias("_run")).select("_id", "_n", "_run.key", "_run.by_hash")
-    # Ids are put in order as they are, or with bits turned over by the key; both give the id back.
-    mask = F.when(F.col("by_hash"), F.xxhash64("key")).otherwise(F.lit(0))
-    order = F.col("_id").bitwiseXOR(mask)
-    heads = members.groupBy("key", "by_hash").agg(
-        F.min(order).alias("low"), F.min_by("_n", order).alias("head_n"), F.count(F.lit(1)).alias("n")
+    """`a, b` (a < b) of documents `_id, _sketch, _n` and the heads of their buckets."""
+    return head_pairs(buckets(rows), least)
+
+
+def not_ruled_out(words: list[np.ndarray], least: float = SIMILARITY) -> np.ndarray:
+    """Which pairs of word sequences may be similar by the number of words they share, counted as often as
+    in both; all pairs together, as products of a matrix of texts and labelled words."""
+    length = np.array([len(w) for w in words])
+    doc = np.repeat(np.arange(len(words)), length)
+    flat = np.concatenate(words).astype(np.uint64) if len(words) else np.zeros(0, np.uint64)
+    order = np.lexsort((flat, doc))
+    flat, doc = flat[order], doc[order]
+    first = np.r_[True, (flat[1:] != flat[:-1]) | (doc[1:] != doc[:-1])][: len(flat)]
+    at = np.arange(len(flat))
+    place = at - np.maximum.accumulate(np.where(first, at, 0))
+    _, word, often = np.unique(flat << np.uint64(32) | place.astype(np.uint64), return_inverse=True, return_counts=True)
+    kept = often[word] > 1
+    column, number = np.unique(word[kept], return_inverse=True)
+    shared = np.zeros((len(words), len(words)), np.float64)
+    for start in range(0, len(column), 1 << 14):
+        here = (number >= start) & (number < start + (1 << 14))
+        part = np.zeros((len(words), min(1 << 14, len(column) - start)), np.float32)
+        part[doc[kept][here], number[here] - start] = 1
+        shared += part @ part.T
+    longer = np.maximum(length[:, None], length[None, :])
+    shorter = np.minimum(length[:, None], length[None, :])
+    least_shared = longer * least - 1e-6
+    return (shared >= least_shared) & (shorter >= least_shared)
+
+
+def rest_pairs(shared: DataFrame, words: DataFrame, roots: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """`a, b` (a < b) of the pairs of a bucket that lie in different components of `roots`, without
+    those that shared words rule out. Heads have been compared with all of their bucket."""
+    known = roots.select(F.col("node").alias("_id"), F.col("root").alias("_root"))
+    members = shared.where("_id <> head").select("key", "_id", "_n").join(known, "_id", "left")
+    members = written(members.withColumn("_root", F.coalesce("_root", "_id")), "members")
+    open_ = members.groupBy("key").agg(
+        F.min("_root").alias("low"), F.max("_root").alias("high"), F.count(F.lit(1)).alias("n"), F.sum("_n").alias("size")
     )
-    heads = heads.where("n > 1").select("key", F.col("low").bitwiseXOR(mask).alias("head"), "head_n")
-    pairs = members.select("_id", "_n", "key").join(heads, "key").where("_id <> head")
-    pairs = pairs.where(F.least("_n", "head_n") >= F.greatest("_n", "head_n") * least - 1e-6)
-    return pairs.select(F.least("_id", "head").alias("a"), F.greatest("_id", "head").alias("b")).distinct()
+    tiles = F.ceil(F.greatest(F.col("n") / TILE, F.col("size") / TILE_WORDS)).cast("int")
+    open_ = open_.where("low < high").select("key", tiles.alias("tiles"))
+    tiled = members.join(open_, "key").withColumn("_tile", F.pmod(F.xxhash64("_id"), "tiles").cast("int"))
+    tiled = written(tiled, "tiled")
+    ids = tiled.select("_id").distinct()
+    needed = words.hint("merge").join(ids, "_id", "left_semi").dropDuplicates(["_id"])
+    full = tiled.hint("merge").join(needed, "_id")
+    other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
+    full = full.select("key", "_id", "_root", "_tile", "_words", other.alias("_other"))
+    full = full.select("key", F.least("_tile", "_other").alias("i"), F.greatest("_tile", "_other").alias("j"), "_id", "_root", "_tile", "_words")
+    full = full.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    def pairs_of(rows: pa.Table) -> pa.RecordBatch:
+        ids, roots, tile = (rows.column(k).to_numpy() for k in ("_id", "_root", "_tile"))
+        open_ = np.triu(roots[:, None] != roots[None, :], 1)
+        if rows.column("i")[0].as_py() != rows.column("j")[0].as_py():
+            open_ &= tile[:, None] != tile[None, :]
+        if open_.any():
+            open_ &= not_ruled_out([np.frombuffer(v.as_py(), np.uint32) for v in rows.column("_words")], least)
+        x, y = (ids[at] for at in np.nonzero(open_))
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left: list[pa.Table] = []  # of the group that goes on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.concat_tables([*left, pa.Table.from_batches([batch])])
+            key, i, j = (table.column(k).to_numpy() for k in ("key", "i", "j"))
+            new = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+            edges = [0, *new.tolist()]
+            for start, end in zip(edges, edges[1:]):
+                yield pairs_of(table.slice(start, end - start))
+            left = [table.slice(edges[-1])]
+        for table in left:
+            yield pairs_of(table)
+
+    return full.mapInArrow(work, "a long, b long").distinct()
 
 
 def verified(pairs: DataFrame, words: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -280,10 +360,18 @@ def groups(docs: DataFrame, ident: str = "doc_id", text: str = "text", least: fl
     copies = written(copies, "copies")
     of_text = rows.where(F.col("_sketch").isNotNull()).select("_id", "_digest", "_sketch", "_n")
     singles = written(of_text.join(copies, "_digest").where("_id = _rep").select("_id", "_sketch", "_n"), "singles")
-    pairs = written(candidate_pairs(singles, least), "pairs")
+    shared = written(buckets(singles), "buckets")
+    words = rows.where(F.col("_sketch").isNotNull()).select("_id", "_words")
+    pairs = written(head_pairs(shared, least), "pairs")
     with few_records(docs.sparkSession):
-        links = written(verified(pairs, rows.select("_id", "_words"), least), "links")
+        links = written(verified(pairs, words, least), "links")
     roots = written(components(links.select("a", "b")), "roots")
+    with few_records(docs.sparkSession):
+        rest = written(rest_pairs(shared, words, roots, least), "pairs")
+        found = written(verified(rest, words, least), "links")
+    if not found.isEmpty():
+        links = links.union(found)
+        roots = written(components(links.select("a", "b")), "roots")
     degree = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node")))
     degree = degree.groupBy("node").agg(F.count(F.lit(1)).alias("links"))
     classed = copies.join(roots, copies["_rep"] == roots["node"], "left").drop("node").join(

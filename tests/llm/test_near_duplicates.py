@@ -148,6 +148,35 @@ def test_a_hot_group_gives_one_pair_a_member(spark):
     assert neardup.groups(spark.createDataFrame(docs, "doc_id long, text string")).select("class_id").distinct().count() == 1
 
 
+def test_all_pairs_of_a_bucket_are_linked_or_ruled_out(spark):
+    """Near copies that share most of their words with unrelated documents, one of which heads their buckets."""
+    draw = random.Random(4)
+    passage = [draw.choice(VOCABULARY) for _ in range(75)]
+    texts = [passage + [draw.choice(VOCABULARY) for _ in range(25)] for _ in range(40)]
+    for _ in range(60):
+        own = [draw.choice(VOCABULARY) for _ in range(25)]
+        changed = set(draw.sample(range(25), 15))
+        texts += [passage + own, passage + [draw.choice(VOCABULARY) if i in changed else w for i, w in enumerate(own)]]
+    docs = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    sketches = {r["_id"]: np.array(r["_sketch"]) for r in neardup.sketched(frame, "doc_id", "text").collect()}
+    got = {r["doc_id"]: r["class_id"] for r in neardup.groups(frame).collect()}
+    pairs = [(i, i + 1) for i in range(40, 160, 2) if (sketches[i] == sketches[i + 1]).any()]
+    assert len(pairs) > 30 and all(1 - distance(texts[i], texts[j]) / 100 >= 0.8 for i, j in pairs)
+    assert [(i, j) for i, j in pairs if got[i] != got[j]] == []
+    assert all(got[i] == i for i in range(40))
+
+
+def test_pairs_are_ruled_out_by_shared_words_only():
+    draw = random.Random(5)
+    words = [np.array([draw.randint(1, 6) for _ in range(draw.randint(1, 12))], np.uint32) for _ in range(40)]
+    got = neardup.not_ruled_out(words)
+    for i, a in enumerate(words):
+        for j, b in enumerate(words):
+            shared = sum(min(np.sum(a == w), np.sum(b == w)) for w in range(1, 7))
+            assert i == j or got[i, j] == (min(len(a), len(b), shared) >= 0.8 * max(len(a), len(b)) - 1e-9)
+
+
 def test_pipeline_stages(spark):
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
