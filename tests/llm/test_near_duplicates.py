@@ -167,6 +167,20 @@ def test_all_pairs_of_a_bucket_are_linked_or_ruled_out(spark):
     assert all(got[i] == i for i in range(40))
 
 
+@pytest.mark.parametrize("edits", (20, 18, 15))
+def test_pairs_at_the_threshold_share_a_bucket(spark, edits):
+    """Words substituted at random places of 100, for similarities of 0.80 to 0.85."""
+    draw, docs = random.Random(6), []
+    for n in range(200):
+        base = [draw.choice(VOCABULARY) for _ in range(100)]
+        changed = set(draw.sample(range(100), edits))
+        copy = [draw.choice(VOCABULARY) if i in changed else w for i, w in enumerate(base)]
+        docs += [(2 * n, " ".join(base)), (2 * n + 1, " ".join(copy))]
+    rows = neardup.sketched(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text").collect()
+    sketches = {r["_id"]: np.array(r["_sketch"]) for r in rows}
+    assert sum((sketches[i] == sketches[i + 1]).any() for i in range(0, 400, 2)) >= 0.96 * 200
+
+
 def test_pairs_are_ruled_out_by_shared_words_only():
     draw = random.Random(5)
     words = [np.array([draw.randint(1, 6) for _ in range(draw.randint(1, 12))], np.uint32) for _ in range(40)]
