@@ -18,6 +18,7 @@ null id are scored but not learned from; repeated rows get one score; other colu
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -189,31 +190,47 @@ def _matrices(table) -> tuple[np.ndarray, np.ndarray]:
     )
 
 
-def _most_certain(unlabelled: DataFrame, model: Model, growth: int) -> pa.Table:
+def _digest(c: bytes, m: bytes) -> bytes:
+    return hashlib.md5(c + m).digest()
+
+
+def _most_certain(unlabelled: DataFrame, model: Model, growth: int, taken: list[set[bytes]]) -> pa.Table:
     """The unlabelled documents of which a view is most certain, for each view and class at most
-    `growth`, with their features."""
-    shared = unlabelled.sparkSession.sparkContext.broadcast(model)
+    `growth`, with their features: one of equal features, and none whose features the view has handed
+    over before (`taken`, digests for each view)."""
+    shared = unlabelled.sparkSession.sparkContext.broadcast((model, taken))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            views = shared.value.views(*_matrices(batch))
+            model, taken = shared.value
+            views = model.views(*_matrices(batch))
+            batch = batch.append_column("_key", pa.array([_digest(c.as_py(), m.as_py()) for c, m in zip(batch["_c"], batch["_m"])]))
+            keys = np.array(batch["_key"].to_pylist(), object)
+            # The smallest id of each feature row.
+            order = pa.compute.sort_indices(batch, [("_key", "ascending"), ("_id", "ascending")]).to_numpy()
+            first = order[np.r_[True, keys[order][1:] != keys[order][:-1]]]
             for number, p in enumerate(views):
+                new = np.sort([i for i in first if keys[i] not in taken[number]]).astype(np.int64)
                 for label, sure in ((1, p), (0, 1 - p)):
-                    at = np.flatnonzero(sure >= CERTAIN)
-                    at = at[np.argsort(-sure[at], kind="stable")[: 4 * growth]]
+                    at = new[sure[new] >= CERTAIN]
+                    at = at[np.argsort(-sure[at], kind="stable")]
+                    at = at[sure[at] >= sure[at][min(growth, len(at)) - 1]] if len(at) else at
                     picked = batch.take(pa.array(at))
                     marks = [pa.array(np.full(len(at), v)) for v in (number, label)]
                     yield pa.RecordBatch.from_arrays(
-                        [*picked.columns, *marks, pa.array(sure[at])], names=["_id", "_c", "_m", "view", "label", "sure"]
+                        [*picked.columns, *marks, pa.array(sure[at])], names=["_id", "_c", "_m", "_key", "view", "label", "sure"]
                     )
 
     schema = T.StructType(
         [*[unlabelled.schema[n] for n in ("_id", "_c", "_m")]]
+        + [T.StructField("_key", T.BinaryType())]
         + [T.StructField("view", T.LongType()), T.StructField("label", T.LongType()), T.StructField("sure", T.DoubleType())]
     )
-    found = unlabelled.select("_id", "_c", "_m").mapInArrow(work, schema)
+    found = unlabelled.select("_id", "_c", "_m").mapInArrow(work, schema).groupBy("view", "label", "_key").agg(
+        F.min("_id").alias("_id"), F.min("_c").alias("_c"), F.min("_m").alias("_m"), F.max("sure").alias("sure")
+    )
     parts = [
         found.where((F.col("view") == v) & (F.col("label") == y)).orderBy(F.col("sure").desc(), "_id").limit(growth)
         for v in (0, 1)
@@ -235,7 +252,7 @@ def co_train(
 ) -> Model | None:
     """A model of good quality (label 1); null without labels of both classes.
 
-    About `fit_rows` labelled documents, chosen by a digest of their id, are used: every fifth for
+    About `fit_rows` labelled documents, half of each class, chosen by a digest of their id, are used: every fifth for
     calibration, the others to fit. What is handed over in a round is in the proportion of the classes,
     `growth` of the more frequent one at most.
     """
@@ -246,8 +263,10 @@ def co_train(
     if not sizes.get(0) or not sizes.get(1):
         return None
     place = F.conv(F.substring(F.md5(F.col("_id").cast("string")), 1, 8), 16, 10).cast("double") / 2.0**32
-    share = min(1.0, fit_rows / (sizes[0] + sizes[1]))
-    sample = table.where(F.col("_label").isNotNull() & (place < share)).withColumn("_place", place).toArrow()
+    # Half of the sample for each class; what one leaves goes to the other.
+    share = [min(1.0, max(fit_rows / 2, fit_rows - sizes[1 - v]) / sizes[v]) for v in (0, 1)]
+    chosen = place < F.when(F.col("_label") == 1, share[1]).otherwise(share[0])
+    sample = table.where(F.col("_label").isNotNull() & chosen).withColumn("_place", place).toArrow()
     sample = sample.sort_by([("_place", "ascending"), ("_id", "ascending"), ("_c", "ascending")])
     c, m = _matrices(sample)
     y = sample.column("_label").to_numpy().astype(np.float64)
@@ -263,21 +282,24 @@ def co_train(
     def model() -> Model:
         content, metadata = Logistic().fit(*held["c"]), Logistic().fit(*held["m"])
         odds = content.log_odds(c[back]), metadata.log_odds(m[back])
-        single = [platt(o[:, None], y[back]) for o in odds]
-        return Model(content, metadata, *single, platt(np.c_[odds[0], odds[1]], y[back]), given)
+        fitted = [platt(x, y[back]) for x in (odds[0][:, None], odds[1][:, None], np.c_[odds[0], odds[1]])]
+        for each in fitted:  # odds among all labelled documents, not among the sample
+            each.w[-1] -= np.log(share[1] / share[0])
+        return Model(content, metadata, *fitted, given)
 
     unlabelled = table.where(F.col("_label").isNull())
     for _ in range(rounds):
-        found = _most_certain(unlabelled, model(), growth)
+        found = _most_certain(unlabelled, model(), growth, taken)
         handed = [0, 0]
-        views, classes, ids = (found.column(k).to_numpy() for k in ("view", "label", "_id"))
+        views, classes = (found.column(k).to_numpy() for k in ("view", "label"))
+        keys = found.column("_key").to_pylist()
         fc, fm = _matrices(found) if found.num_rows else (None, None)
         for view, other, features in ((0, "m", fm), (1, "c", fc)):
             for value in (0, 1):
                 at = np.flatnonzero((views == view) & (classes == value))
                 fair = int(np.ceil(growth * sizes[value] / max(sizes[0], sizes[1])))
-                at = [i for i in at[:fair] if ids[i] not in taken[view]]
-                taken[view].update(ids[at].tolist())
+                at = at[:fair]
+                taken[view].update(keys[i] for i in at)
                 handed[view] += len(at)
                 if len(at):
                     held[other][0] = np.r_[held[other][0], features[at]]

@@ -116,6 +116,18 @@ def test_quality_on_documents_kept_back(spark):
     assert hit > 0.95
 
 
+def test_every_round_hands_over_new_feature_rows(spark):
+    """A hot group of copies, and a metadata view that sees nothing."""
+    draw = random.Random(8)
+    good = lambda: " ".join("".join(draw.choice("abcdefgh") for _ in range(draw.randint(2, 9))) for _ in range(30))
+    bad = lambda: "".join(draw.choice("#!9 ") for _ in range(150))
+    texts = [make() for _ in range(400) for make in (good, bad)] + [good()] * 300
+    docs = spark.createDataFrame([(i, t, "s", "en", 100) for i, t in enumerate(texts)], "doc_id long, text string, source string, lang string, n_chars long")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(500)], "doc_id long, quality int")
+    model = quality.co_train(docs, labels, growth=20)
+    assert [g[0] for g in model.given] == [40, 40, 40]
+
+
 def test_quality_of_odd_documents(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(1, 1), (1, 0), (5, 1), (6, 0), (3, 0), (None, 1), (7, None)], "doc_id long, quality int")
     model = quality.co_train(odd_docs, labels)
