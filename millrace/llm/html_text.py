@@ -7,7 +7,8 @@ or the microdata property `articleBody`. Boilerplate inside the region, such as
 paragraphs, scores negative by itself and is left out of the text.
 
 A word stands in the nearest element that says what it is for: by its tag (`nav`, `footer`, ...), its
-role, or a word of its class or id (`menu`, `sidebar`, ...); elements that say nothing are passed over,
+role, or a word of its class or id (`menu`, `sidebar`, ...), but in what is content by its tag or a whole
+name only by a whole name (`sidebar`, not `has-sidebar`); elements that say nothing are passed over,
 and where none says anything its block's tag counts. What stands in reader comments is never content.
 
 Defined results: null and empty html give an empty text; tags that are never closed and pages that
@@ -81,16 +82,19 @@ def purpose(tag: str, attrs: str) -> str | None:
     by_tag = PURPOSE_OF_TAG.get(tag)
     if not attrs or tag in ("html", "body"):
         return by_tag
-    found = set()
+    found, whole = set(), set()  # purposes of parts of names, and of whole names
     for name, *values in ATTRIBUTE.findall(attrs):
         name = name.lower()
         value = "".join(values)
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             return "hidden"
         if name == "itemprop":
-            found |= {"content"} if value == "articleBody" else set()
+            whole |= {"content"} if "articleBody" in value.split() else set()
         elif name != "hidden":
             found |= {PURPOSE_OF_WORD.get(w) for w in WORD_PARTS.findall(CAMEL.sub(" ", value).lower())}
+            whole |= {PURPOSE_OF_WORD.get(w) for w in value.lower().split()}
+    # What is content by its tag or a whole name is not made boilerplate by a part, as of has-sidebar.
+    found = whole | {"content"} if by_tag == "content" or "content" in whole else found | whole
     if {"header", "content"} <= found:  # the head of an article
         found -= {"header"}
     for kind in ("comments", "advert", "notice", "menu", "footer", "form", "sidebar", "header"):

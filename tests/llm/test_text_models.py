@@ -188,6 +188,18 @@ def test_main_text_is_the_marked_article(spark):
         assert r["text"] == "\n".join(b for b in plain if b)
 
 
+@pytest.mark.parametrize(
+    "start",
+    ('article class="post has-sidebar"', 'main class="content with-sidebar"', 'article class="post category-legal"',
+     'article class="comments-open"', 'div class="entry no-comments"', 'div itemprop="articleBody" class="no-comments"'),
+)
+def test_parts_of_class_names_do_not_lose_an_article(start):
+    page = f"<body><{start}><p>one two three four five</p></{start.split()[0]}></body>"
+    assert html_text.main_text(page, html_text.weights_of({})) == "one two three four five"
+    assert html_text.purpose("article", ' class="post comments"') == "comments"
+    assert html_text.purpose("div", ' class="main-menu"') == "menu"
+
+
 def test_best_run_is_that_of_brute_force():
     draw = random.Random(6)
     weights = {"text p": 1.0, "text menu": -2.0, "tag p": -0.5, "tag nav": -1.0}
