@@ -85,3 +85,56 @@ fits AS (
   GROUP BY ALL)
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fits
 """
+
+# The CRC runs over the bytes of the decimal id: -1 stands for a shift by one bit.
+ORACLE["op13_manifest"] = r"""
+WITH RECURSIVE fields AS (
+  SELECT doc_id, source, text IS NOT NULL AND doc_id IS NOT NULL AND (4294967295 - list_reduce(
+           [4294967295::BIGINT] || flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+             lambda c: [ord(c)::BIGINT] || list_transform(range(8), lambda i: -1::BIGINT))),
+           lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END)) % 5 = 0 AS changed,
+         coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+           || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+         coalesce(strlen(text) || ':' || text, '-') AS body,
+         coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-') AS low
+  FROM documents),
+hashed AS (
+  SELECT doc_id, source, sha256(head || body) AS leaf, sha256(head || CASE WHEN changed THEN low ELSE body END) AS other FROM fields),
+leaves AS (
+  SELECT *, coalesce('x' || source, '') AS tree, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM hashed),
+nodes AS (
+  SELECT tree, 0 AS level, pos, leaf AS node, count(*) OVER (PARTITION BY tree) AS many FROM leaves
+  UNION ALL
+  SELECT tree, level + 1, pos // 16, sha256(string_agg(node, '' ORDER BY pos)), ceil(any_value(many) / 16)::BIGINT
+  FROM nodes WHERE many > 1 GROUP BY tree, level, pos // 16),
+subroots AS (SELECT tree, node AS subroot, row_number() OVER (ORDER BY tree) - 1 AS place FROM nodes WHERE many = 1),
+tops AS (
+  SELECT 0 AS level, place AS pos, subroot AS node, count(*) OVER () AS many FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 16, sha256(string_agg(node, '' ORDER BY pos)), ceil(any_value(many) / 16)::BIGINT
+  FROM tops WHERE many > 1 GROUP BY level, pos // 16),
+every AS (
+  SELECT tree, level, pos, node, many FROM nodes WHERE many > 1
+  UNION ALL
+  SELECT 'top', level, pos, node, many FROM tops WHERE many > 1),
+kids AS (SELECT tree, level, pos // 16 AS run, string_agg(node, '' ORDER BY pos) AS kids FROM every GROUP BY tree, level, pos // 16),
+roots AS (SELECT node AS root FROM tops WHERE many = 1),
+steps AS (
+  SELECT l.tree, l.doc_id, l.pos, l.leaf, k.level, k.kids, (l.pos // (16 ** k.level)::BIGINT % 16) AS slot
+  FROM leaves l JOIN kids k ON k.tree = l.tree AND k.run = l.pos // (16 ** (k.level + 1))::BIGINT
+  UNION ALL
+  SELECT l.tree, l.doc_id, l.pos, l.leaf, 1000 + k.level, k.kids, (s.place // (16 ** k.level)::BIGINT % 16)
+  FROM leaves l JOIN subroots s USING (tree) JOIN kids k ON k.tree = 'top' AND k.run = s.place // (16 ** (k.level + 1))::BIGINT),
+proofs AS (
+  SELECT tree, pos, list({'b': kids[1:slot * 64], 'a': kids[slot * 64 + 65:]} ORDER BY level) AS path FROM steps GROUP BY tree, pos),
+proved AS (
+  SELECT l.*, s.subroot, r.root, coalesce(p.path, []) AS path
+  FROM leaves l JOIN subroots s USING (tree) CROSS JOIN roots r LEFT JOIN proofs p ON p.tree = l.tree AND p.pos = l.pos),
+folded AS (
+  SELECT *, list_reduce([{'b': '', 'a': '', 'd': other}] || list_transform(path, lambda p: {'b': p.b, 'a': p.a, 'd': ''}),
+              lambda x, y: {'b': '', 'a': '', 'd': sha256(y.b || x.d || y.a)}).d AS folded_root FROM proved)
+SELECT doc_id, source, leaf, subroot, root,
+       sha256(coalesce(array_to_string(list_transform(path, lambda p: p.b || p.a), ''), '')) AS proof_sha256,
+       folded_root, folded_root = root AS verified
+FROM folded
+"""

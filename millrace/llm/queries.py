@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bytepair, html_text, langid, mixing, neardup, neighbours, quality, sharding, topk, urls
+from . import (
+    bytepair, html_text, langid, manifest, mixing, neardup, neighbours, quality, sharding, topk, toxicity, urls, whitening,
+)
 from .chars import prepared
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,3 +139,28 @@ def op6_main_text(spark, sf):
 def op1_order_minhash(spark, sf):
     """The near-duplicate group of every document."""
     return neardup.groups(table(spark, sf, "documents"))
+
+
+@query
+def op11_toxicity(spark, sf):
+    """The toxicity of every text."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf, "labels").select("doc_id", "toxic"), ~held_out("doc_id"))
+    found = toxicity.score(docs, model)
+    return found.select(
+        "doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+@query
+def op12_whitening(spark, sf):
+    """Whitened vectors on up to 32 components."""
+    return whitening.whiten(table(spark, sf, "embeddings"))
+
+
+@query
+def op13_manifest(spark, sf):
+    """Leaf, roots and proof of every document, the proof tried on a changed text for every fifth id."""
+    docs = table(spark, sf, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return manifest.manifest(docs, tampered)
