@@ -7,12 +7,27 @@ from pyspark.sql import DataFrame, functions as F
 from ..session import written
 
 
+SALTS = 32  # pieces of the neighbours of a node
+
+
+def _least_neighbour(edges: DataFrame, own: bool) -> DataFrame:
+    """`u, v, m` of edges `u, v`, with the smallest neighbour of u (or u itself, where `own`). The edges of
+    a node are dealt to `SALTS` pieces; only one number of each piece meets those of the others."""
+    salted = edges.withColumn("_salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+    pieces = salted.groupBy("u", "_salt").agg(F.min("v").alias("_m"))
+    whole = pieces.groupBy("u").agg(F.min("_m").alias("m"))
+    if own:
+        whole = whole.select("u", F.least("m", "u").alias("m"))
+    of_piece = pieces.select("u", "_salt").join(whole, "u")
+    return salted.join(of_piece, ["u", "_salt"]).select("u", "v", "m")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """`node, root` for every node of edges `a, b`; `root` is the smallest node of its component.
 
     Large-star and small-star rounds in turn (Kiveris et al., 2014): each links the neighbours of a
-    node to the smallest of them, until nothing changes. The smallest neighbour is a partial aggregate,
-    and joins on a busy node can be split at run time. Every round is written to the shared folder, so
+    node to the smallest of them, until nothing changes. The edges of a busy node are spread over tasks.
+    Every round is written to the shared folder, so
     a lost executor costs one round. Null ends and loops are left out; no edges give no rows.
     """
     state = written(
@@ -21,11 +36,10 @@ def components(edges: DataFrame) -> DataFrame:
     previous = None
     while True:
         both = state.union(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("_m")).select("u", F.least("_m", "u").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = _least_neighbour(both, own=True).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = written(large.where("u <> v").distinct(), "edges")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        least = _least_neighbour(large, own=False)
+        small = least.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         small = small.union(least.select("u", F.col("m").alias("v"))).distinct()
         state = written(small, "edges")
         # xxhash64 sums tell whether an edge set is still the same.

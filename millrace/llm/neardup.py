@@ -4,21 +4,23 @@ Words are runs of letters and digits in lower case. Runs of three words are k-me
 their occurrence in the text. Each of `SKETCHES` hash functions picks the two labelled k-mers of smallest hash
 and keeps them in the order of the text, so a sketch agrees when both the k-mers and their order do: the
 chance of that follows the edit similarity (Marcais et al., 2019). Documents meet in buckets of equal
-sketches. In every bucket each document is first compared with the smallest id. After that all pairs of
-a bucket that no chain of links joins yet are looked at, tile by tile, and compared unless their shared
-words rule them out. A pair counts when a banded alignment of the
-words finds an edit similarity of at least `SIMILARITY`, 1 - distance / longer length. Counts of shared
-words and word pairs, which bound the distance from below, spare most alignments of pairs that are not
-similar. Groups are the connected components of the pairs that count.
+sketches. A pair counts when a banded alignment of the words finds an edit similarity of at least
+`SIMILARITY`, 1 - distance / longer length. Groups are the connected components of the pairs that count.
 
-Equal texts are collapsed first and need no comparison. No bucket is cut: a hot bucket whose members are
-like its head gives one pair for each, and one of members unlike each other is read as tiles of about
-`TILE` documents, every tile with every other.
+In every bucket each document is first compared with the smallest id, which gives one pair for each. Where
+links join a bucket into one component, nothing is left to do. In the others every document outside the
+largest component looks through all documents of other components, tile by tile: counts of its words in
+`BINS` bins bound the distance from below and rule out most. Of those left it names the nearest few, they
+are aligned, and components grow, round by round while that finds links; then all the pairs left between
+different components are aligned. So no pair of a bucket is passed over, while copies that a chain of links
+joins are not compared with each other.
+
+Equal texts are collapsed first and need no comparison. No bucket is cut.
 
 Defined results: null text is alone in its group; texts without a word form groups by equal text; a text
-of fewer than three words is one k-mer; very long texts are read whole, in slices; rows of one id are one
-document; rows without an id belong to the group of their text; an empty table gives no rows; only the id
-and the text are read.
+of fewer than three words is one k-mer; very long texts are read whole, in slices; an id with several texts
+links the groups of none of them, and its rows may lie in several groups; rows without an id take part
+by their text; an empty table gives no rows; only the id and the text are read.
 """
 
 from __future__ import annotations
@@ -33,10 +35,11 @@ from ..session import written
 from .chars import DIGIT, LETTER, char_classes, code_points, few_records, few_rows, mixed
 from .components import components
 
-K, PICKED, SKETCHES, SIMILARITY = 5, 2, 40, 0.8
+PICKED, SKETCHES, SIMILARITY = 2, 40, 0.8
 RUN = 3  # words of the k-mers in the buckets: at a similarity of 0.8 runs of three agree far more often than of five
 BAND, CELLS = 16, 1 << 21
-TILE, TILE_WORDS = 64, 1 << 16  # documents and words of a tile, about
+BINS, TILE = 256, 512  # bins of the word counts, documents of a tile, about
+NEAREST = 2  # partners a document names in a round, before all are looked at
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = mixed(np.arange(1, SKETCHES + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -62,7 +65,7 @@ def word_hashes(text: str) -> np.ndarray:
     return out
 
 
-def labelled_kmers(words: np.ndarray, k: int = K) -> np.ndarray:
+def labelled_kmers(words: np.ndarray, k: int = RUN) -> np.ndarray:
     """Hashes of the runs of k words, each with its number among equal runs."""
     if not len(words):
         return words
@@ -80,7 +83,7 @@ def labelled_kmers(words: np.ndarray, k: int = K) -> np.ndarray:
     return out
 
 
-def sketch(words: np.ndarray, k: int = K) -> np.ndarray:
+def sketch(words: np.ndarray, k: int = RUN) -> np.ndarray:
     """The order sketches of a text: for each hash function the two labelled k-mers of smallest hash,
     hashed together in text order."""
     kmers = labelled_kmers(words, k)
@@ -211,8 +214,14 @@ def similar(pairs: list[tuple[np.ndarray, np.ndarray]], least: float = SIMILARIT
     return out
 
 
+def counted(words: np.ndarray) -> np.ndarray:
+    """How many words fall into each bin, at most 255. The counts of two texts differ by no more than
+    the multisets of their words do."""
+    return np.minimum(np.bincount(words & np.uint32(BINS - 1), minlength=BINS), 255).astype(np.uint8)
+
+
 def sketched(docs: DataFrame, ident: str, text: str) -> DataFrame:
-    """`_id, _digest, _sketch, _words, _n` of every row. The words are 32-bit hashes, `_n` is their
+    """`_id, _digest, _sketch, _words, _bins, _n` of every row. The words are 32-bit hashes, `_n` is their
     number; without words or text there is no sketch."""
     rows = docs.select(F.col(ident).cast("long").alias("_id"), F.md5(text).alias("_digest"), F.col(text).alias("_text"))
 
@@ -220,14 +229,18 @@ def sketched(docs: DataFrame, ident: str, text: str) -> DataFrame:
         for whole in batches:
             for batch in few_rows(whole, "_text"):
                 hashes = [word_hashes(v.as_py() or "") for v in batch.column("_text")]
-                sketches = [sketch(w, RUN).view(np.int64) if len(w) else None for w in hashes]
-                words = [(w >> np.uint64(32)).astype(np.uint32).tobytes() for w in hashes]
-                sizes = pa.array([len(w) for w in hashes], pa.int64())
-                columns = [pa.array(sketches, pa.list_(pa.int64())), pa.array(words, pa.binary()), sizes]
-                names = ["_id", "_digest", "_sketch", "_words", "_n"]
+                sketches = [sketch(w).view(np.int64) if len(w) else None for w in hashes]
+                short = [(w >> np.uint64(32)).astype(np.uint32) for w in hashes]
+                columns = [
+                    pa.array(sketches, pa.list_(pa.int64())),
+                    pa.array([w.tobytes() for w in short], pa.binary()),
+                    pa.array([counted(w).tobytes() for w in short], pa.binary()),
+                    pa.array([len(w) for w in hashes], pa.int64()),
+                ]
+                names = ["_id", "_digest", "_sketch", "_words", "_bins", "_n"]
                 yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_digest"), *columns], names=names)
 
-    return rows.mapInArrow(work, "_id long, _digest string, _sketch array<long>, _words binary, _n long")
+    return rows.mapInArrow(work, "_id long, _digest string, _sketch array<long>, _words binary, _bins binary, _n long")
 
 
 def buckets(rows: DataFrame) -> DataFrame:
@@ -253,62 +266,67 @@ def candidate_pairs(rows: DataFrame, least: float = SIMILARITY) -> DataFrame:
     return head_pairs(buckets(rows), least)
 
 
-def not_ruled_out(words: list[np.ndarray], least: float = SIMILARITY) -> np.ndarray:
-    """Which pairs of word sequences may be similar by the number of words they share, counted as often as
-    in both; all pairs together, as products of a matrix of texts and labelled words."""
-    length = np.array([len(w) for w in words])
-    doc = np.repeat(np.arange(len(words)), length)
-    flat = np.concatenate(words).astype(np.uint64) if len(words) else np.zeros(0, np.uint64)
-    order = np.lexsort((flat, doc))
-    flat, doc = flat[order], doc[order]
-    first = np.r_[True, (flat[1:] != flat[:-1]) | (doc[1:] != doc[:-1])][: len(flat)]
-    at = np.arange(len(flat))
-    place = at - np.maximum.accumulate(np.where(first, at, 0))
-    _, word, often = np.unique(flat << np.uint64(32) | place.astype(np.uint64), return_inverse=True, return_counts=True)
-    kept = often[word] > 1
-    column, number = np.unique(word[kept], return_inverse=True)
-    shared = np.zeros((len(words), len(words)), np.float64)
-    for start in range(0, len(column), 1 << 14):
-        here = (number >= start) & (number < start + (1 << 14))
-        part = np.zeros((len(words), min(1 << 14, len(column) - start)), np.float32)
-        part[doc[kept][here], number[here] - start] = 1
-        shared += part @ part.T
-    longer = np.maximum(length[:, None], length[None, :])
-    shorter = np.minimum(length[:, None], length[None, :])
-    least_shared = longer * least - 1e-6
-    return (shared >= least_shared) & (shorter >= least_shared)
-
-
-def rest_pairs(shared: DataFrame, words: DataFrame, roots: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """`a, b` (a < b) of the pairs of a bucket that lie in different components of `roots`, without
-    those that shared words rule out. Heads have been compared with all of their bucket."""
+def near(bins: np.ndarray, sizes: np.ndarray, at: int, others: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the other texts may be similar to a text by their word counts, and the least share of
+    words that differs. A distance is at least the words that one text has and the other lacks."""
+    longer = np.maximum(sizes[others], sizes[at])
+    most = (1 - least) * longer + 1e-6
+    fit = np.abs(sizes[others] - sizes[at]) <= most
+    others, longer, most = others[fit], longer[fit], most[fit]
+    apart = bins[others] - bins[at]
+    lower = (np.abs(apart).sum(axis=1) + np.abs(apart.sum(axis=1))) / 2
+    fit = lower <= most
+    return others[fit], lower[fit] / longer[fit]
+
+
+def open_members(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """`key, _id, _n, _root, outside, tiles, _tile` of members of buckets with several components; `outside`
+    are those that are not in the largest one. Heads have been compared with all of their bucket."""
     known = roots.select(F.col("node").alias("_id"), F.col("root").alias("_root"))
     members = shared.where("_id <> head").select("key", "_id", "_n").join(known, "_id", "left")
     members = written(members.withColumn("_root", F.coalesce("_root", "_id")), "members")
-    open_ = members.groupBy("key").agg(
-        F.min("_root").alias("low"), F.max("_root").alias("high"), F.count(F.lit(1)).alias("n"), F.sum("_n").alias("size")
+    parts = members.groupBy("key", "_root").agg(F.count(F.lit(1)).alias("n"))
+    open_ = parts.groupBy("key").agg(
+        F.max(F.struct("n", "_root"))["_root"].alias("main"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts")
     )
-    tiles = F.ceil(F.greatest(F.col("n") / TILE, F.col("size") / TILE_WORDS)).cast("int")
-    open_ = open_.where("low < high").select("key", tiles.alias("tiles"))
+    open_ = open_.where("parts > 1").select("key", "main", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
     tiled = members.join(open_, "key").withColumn("_tile", F.pmod(F.xxhash64("_id"), "tiles").cast("int"))
-    tiled = written(tiled, "tiled")
-    ids = tiled.select("_id").distinct()
-    needed = words.hint("merge").join(ids, "_id", "left_semi").dropDuplicates(["_id"])
-    full = tiled.hint("merge").join(needed, "_id")
+    return tiled.withColumn("outside", F.col("_root") != F.col("main")).drop("main")
+
+
+def rest_pairs(members: DataFrame, singles: DataFrame, nearest: int | None, least: float = SIMILARITY) -> DataFrame:
+    """`a, b` (a < b) of the pairs of a bucket that lie in different components and may be similar by their
+    word counts: all of them, or the `nearest` ones of each member outside the largest component."""
+    bins = singles.select("_id", "_bins").join(members.select("_id").distinct(), "_id", "left_semi")
+    full = members.join(bins, "_id")
     other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
-    full = full.select("key", "_id", "_root", "_tile", "_words", other.alias("_other"))
-    full = full.select("key", F.least("_tile", "_other").alias("i"), F.greatest("_tile", "_other").alias("j"), "_id", "_root", "_tile", "_words")
+    full = full.withColumn("_other", other).select(
+        "key", F.least("_tile", "_other").alias("i"), F.greatest("_tile", "_other").alias("j"),
+        "_id", "_n", "_root", "_tile", "outside", "_bins",
+    )
     full = full.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
     def pairs_of(rows: pa.Table) -> pa.RecordBatch:
-        ids, roots, tile = (rows.column(k).to_numpy() for k in ("_id", "_root", "_tile"))
-        open_ = np.triu(roots[:, None] != roots[None, :], 1)
-        if rows.column("i")[0].as_py() != rows.column("j")[0].as_py():
-            open_ &= tile[:, None] != tile[None, :]
-        if open_.any():
-            open_ &= not_ruled_out([np.frombuffer(v.as_py(), np.uint32) for v in rows.column("_words")], least)
-        x, y = (ids[at] for at in np.nonzero(open_))
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+        ids, sizes, roots, tile = (rows.column(k).to_numpy() for k in ("_id", "_n", "_root", "_tile"))
+        outside = rows.column("outside").to_numpy(zero_copy_only=False)
+        counts = np.frombuffer(b"".join(rows.column("_bins").to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int32)
+        apart = rows.column("i")[0].as_py() != rows.column("j")[0].as_py()
+        left, right, lower = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        for at in np.flatnonzero(outside):
+            others = roots != roots[at]
+            if apart:
+                others &= tile != tile[at]
+            if nearest is None:  # a pair of two members outside is named by the smaller
+                others &= ~outside | (ids > ids[at])
+            others, share = near(counts, sizes, at, np.flatnonzero(others), least)
+            if nearest is not None:
+                kept = np.lexsort((ids[others], share))[:nearest]
+                others, share = others[kept], share[kept]
+            left.append(np.full(len(others), ids[at]))
+            right.append(ids[others])
+            lower.append(share)
+        columns = [pa.array(np.concatenate(c)) for c in (left, right, lower)]
+        return pa.RecordBatch.from_arrays(columns, names=["x", "y", "lower"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left: list[pa.Table] = []  # of the group that goes on in the next batch
@@ -325,14 +343,31 @@ def rest_pairs(shared: DataFrame, words: DataFrame, roots: DataFrame, least: flo
         for table in left:
             yield pairs_of(table)
 
-    return full.mapInArrow(work, "a long, b long").distinct()
+    named = full.mapInArrow(work, "x long, y long, lower double")
+    if nearest is not None:
+        named = named.distinct()
+        order = Window.partitionBy("x").orderBy("lower", "y")
+        named = named.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= nearest)
+    return named.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def joined_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """`node, root` after further links: components of the components that the links join."""
+    ends = links.select("a", "b")
+    for end in ("a", "b"):
+        known = roots.select(F.col("node").alias(end), F.col("root").alias(f"_{end}"))
+        ends = ends.join(known, end, "left").withColumn(f"_{end}", F.coalesce(f"_{end}", end))
+    moved = written(components(ends.select(F.col("_a").alias("a"), F.col("_b").alias("b"))), "moved")
+    to = moved.select(F.col("node").alias("root"), F.col("root").alias("_to"))
+    old = roots.join(to, "root", "left").select("node", F.coalesce("_to", "root").alias("root"))
+    return old.union(moved.join(roots, "node", "left_anti").select("node", "root"))
 
 
 def verified(pairs: DataFrame, words: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """`a, b, similarity` of the pairs that are similar enough. `words` has `_id, _words`."""
+    """`a, b, similarity` of the pairs that are similar enough. `words` has `_id, _words`, an id once."""
     ids = pairs.select(F.col("a").alias("_id")).union(pairs.select(F.col("b").alias("_id"))).distinct()
     # Merge joins at every size: which ids are needed grows with the documents.
-    needed = written(words.hint("merge").join(ids, "_id", "left_semi").dropDuplicates(["_id"]), "words")
+    needed = written(words.hint("merge").join(ids, "_id", "left_semi"), "words")
     side = lambda n: needed.select(F.col("_id").alias(n), F.col("_words").alias(f"_{n}")).hint("merge")
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "_a", "_b")
 
@@ -349,59 +384,92 @@ def verified(pairs: DataFrame, words: DataFrame, least: float = SIMILARITY) -> D
     return both.mapInArrow(work, "a long, b long, similarity double")
 
 
+def distinct_texts(rows: DataFrame) -> DataFrame:
+    """`_digest, _rep, _rows, _node` of each text: its smallest id, how often it comes, and a number of its
+    own: the id, or for further texts of an id, and texts without one, a hash of the text."""
+    texts = rows.where(F.col("_digest").isNotNull()).groupBy("_digest").agg(
+        F.min("_id").alias("_rep"), F.count(F.lit(1)).alias("_rows")
+    )
+    texts = written(texts, "texts")
+    first = texts.where("_rep is not null").groupBy("_rep").agg(F.min("_digest").alias("_digest")).select("_digest", F.lit(True).alias("_first"))
+    own = F.when(F.col("_first"), F.col("_rep")).otherwise(F.xxhash64("_digest"))
+    return written(texts.join(first, "_digest", "left").withColumn("_node", own).drop("_first"), "texts")
+
+
 def groups(docs: DataFrame, ident: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
     """`ident, class_id, class_size, links` for every row: the smallest id of its group, the number of
     rows in the group, and with how many different texts a comparison linked its text. `class_id` is
     null where no row of a group has an id; a row without text is a group of its own, also beside another
     with its id."""
+    found = classes(docs, ident, text, least)
+    return found.select(F.col("_id").alias(ident), "class_id", "class_size", "links")
+
+
+def classes(docs: DataFrame, ident: str, text: str, least: float) -> DataFrame:
+    """`_id, _digest, _root, class_id, class_size, links` of every row; `_root` tells the group."""
     rows = written(sketched(docs, ident, text), "sketches")
-    copies = rows.where(F.col("_digest").isNotNull()).groupBy("_digest").agg(
-        F.min("_id").alias("_rep"), F.count(F.lit(1)).alias("_rows")
-    )
-    copies = written(copies, "copies")
-    of_text = rows.where(F.col("_sketch").isNotNull()).select("_id", "_digest", "_sketch", "_n")
-    singles = written(of_text.join(copies, "_digest").where("_id = _rep").select("_id", "_sketch", "_n"), "singles")
-    shared = written(buckets(singles), "buckets")
-    words = rows.where(F.col("_sketch").isNotNull()).select("_id", "_words")
-    pairs = written(head_pairs(shared, least), "pairs")
+    texts = distinct_texts(rows)
+    of_text = rows.where(F.col("_sketch").isNotNull()).drop("_id").dropDuplicates(["_digest"])
+    singles = of_text.join(texts.select("_digest", F.col("_node").alias("_id")), "_digest").drop("_digest")
+    singles = written(singles, "singles")
+    shared = written(buckets(singles.select("_id", "_sketch", "_n")), "buckets")
+    words = singles.select("_id", "_words")
+    tested = written(head_pairs(shared, least), "pairs")
     with few_records(docs.sparkSession):
-        links = written(verified(pairs, words, least), "links")
+        links = written(verified(tested, words, least), "links")
     roots = written(components(links.select("a", "b")), "roots")
-    with few_records(docs.sparkSession):
-        rest = written(rest_pairs(shared, words, roots, least), "pairs")
-        found = written(verified(rest, words, least), "links")
-    if not found.isEmpty():
-        links = links.union(found)
-        roots = written(components(links.select("a", "b")), "roots")
+    nearest: int | None = NEAREST
+    while True:
+        members = written(open_members(shared, roots), "members")
+        named = rest_pairs(members, singles, nearest, least).join(tested, ["a", "b"], "left_anti")
+        named = written(named, "pairs")
+        with few_records(docs.sparkSession):
+            found = written(verified(named, words, least), "links")
+        many, good = named.count(), found.count()
+        if good:
+            links = links.union(found)
+            roots = written(joined_roots(roots, found), "roots")
+        if nearest is None:
+            break
+        tested = tested.union(named)
+        # Components at least halve where the nearest are similar; where few are, all that is left is looked at.
+        if good < many / 4 or not many:
+            nearest = None
     degree = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node")))
     degree = degree.groupBy("node").agg(F.count(F.lit(1)).alias("links"))
-    classed = copies.join(roots, copies["_rep"] == roots["node"], "left").drop("node").join(
-        degree, F.col("_rep") == degree["node"], "left"
-    )
-    classed = written(
-        classed.select(
-            "_digest", "_rows", F.coalesce("root", "_rep").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links")
-        ),
-        "classed",
-    )
+    classed = texts.join(roots, texts["_node"] == roots["node"], "left").drop("node")
+    classed = classed.join(degree, F.col("_node") == degree["node"], "left")
+    classed = classed.select("_digest", "_rep", "_rows", F.coalesce("root", "_node").alias("_root"), F.coalesce("links", F.lit(0)).alias("links"))
+    classed = written(classed, "classed")
     # Written, so that Spark may split a large group in the joins that hand its size to its rows.
-    sizes = classed.groupBy("class_id").agg(F.sum("_rows").alias("class_size"))
-    sized = written(classed.join(written(sizes, "sizes"), "class_id", "left").drop("_rows"), "sized")
+    sizes = classed.groupBy("_root").agg(F.min("_rep").alias("class_id"), F.sum("_rows").alias("class_size"))
+    sized = written(classed.join(written(sizes, "sizes"), "_root").drop("_rows", "_rep"), "sized")
     placed = rows.select("_id", "_digest").join(sized, "_digest", "left")
     no_text = F.col("_digest").isNull()
     return placed.select(
-        F.col("_id").alias(ident),
+        "_id",
+        "_digest",
+        F.when(no_text, F.xxhash64(F.lit("no text"), "_id")).otherwise(F.col("_root")).alias("_root"),
         F.when(no_text, F.col("_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.when(F.col("class_id").isNull(), 1).otherwise(F.col("class_size")).cast("long").alias("class_size"),
+        F.when(no_text, 1).otherwise(F.col("class_size")).cast("long").alias("class_size"),
         F.coalesce("links", F.lit(0)).cast("long").alias("links"),
     )
 
 
 def one_of_each(docs: DataFrame, ident: str = "doc_id", text: str = "text", least: float = SIMILARITY) -> DataFrame:
-    """`docs` with one document of each group, that of the smallest id; of rows with that id one stays.
-    Documents without an id all stay, as no group can name them."""
-    found = groups(docs, ident, text, least).where("class_id = " + ident).select(F.col(ident).alias("_kept_id")).distinct()
-    kept = docs.join(found, docs[ident] == found["_kept_id"])
-    first = Window.partitionBy("_kept_id").orderBy(F.xxhash64(*[docs[f"`{c}`"] for c in docs.columns]))
-    kept = kept.withColumn("_kept_no", F.row_number().over(first)).where("_kept_no = 1").drop("_kept_id", "_kept_no")
-    return kept.union(docs.where(F.col(ident).isNull()))
+    """`docs` with one document of each group, that of the smallest id; where the group has several texts
+    of that id, that of the smallest digest; of rows with equal id and text, one. Documents without an id
+    all stay, as no group can name them."""
+    found = classes(docs, ident, text, least).where("_id = class_id")
+    told = found.groupBy("_root").agg(F.min("_id").alias("_kept_id"), F.min("_digest").alias("_kept_text"))
+    told = told.select("_kept_id", F.coalesce("_kept_text", F.lit("")).alias("_kept_text"))
+    # Places for names, so that no column of the caller's clashes.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    of = {name: F.col(f"c{i}") for i, name in enumerate(docs.columns)}
+    keys = [of[ident].cast("long").alias("_kept_id"), F.coalesce(F.md5(of[text]), F.lit("")).alias("_kept_text")]
+    kept = plain.select("*", *keys).join(told, ["_kept_id", "_kept_text"])
+    # Maps have no hash; their text has.
+    hashed = [F.to_json(F.struct(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name) for f in plain.schema.fields]
+    first = Window.partitionBy("_kept_id", "_kept_text").orderBy(F.xxhash64(*hashed))
+    kept = kept.withColumn("_kept_no", F.row_number().over(first)).where("_kept_no = 1").select(*plain.columns)
+    return kept.union(plain.where(of[ident].isNull())).toDF(*docs.columns)

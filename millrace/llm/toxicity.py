@@ -6,7 +6,8 @@ between words. The lexicon holds beginnings of folded words. They are learned fr
 beginning counts where it is found in far more toxic than clean documents (log-likelihood ratio of document
 counts), its weight is the log odds, and of nested beginnings the longest stays that loses few toxic
 documents. An occurrence does not count inside an exception phrase: the word and a neighbour, where
-labelled documents show the pair mostly in clean ones, or phrases given by the caller.
+labelled documents show the pair mostly in clean ones, or phrases given by the caller. Words are counted
+again outside of the phrases before the lexicon is chosen.
 
 The score is logistic in the logarithms of the summed weights and of the number of words, so the sum is
 normalised by a power of the length; power and offset are fitted on labelled documents that gave no lexicon.
@@ -28,6 +29,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -60,6 +62,7 @@ SIGNS = str.maketrans("@$!|€£+", "aslletl")
 
 _SIGN = regex.compile(r"(?<=\w)[@$!|€£+](?=\w)|(?<!\w)[@$](?=\p{L})")
 _WORD = regex.compile(r"[\p{L}\p{N}]+")
+_MARK = regex.compile(r"\p{M}+")
 _HAS_LETTER = regex.compile(r"\p{L}")
 
 
@@ -75,14 +78,35 @@ def slices(text: str) -> Iterator[str]:
         start = end
 
 
+def _folded(token: str) -> str:
+    """The folded words of a run without white space, with single blanks between them."""
+    plain = unicodedata.normalize("NFKD", token).lower()
+    plain = _MARK.sub("", plain).translate(LOOK_ALIKE)
+    plain = _SIGN.sub(lambda m: m.group().translate(SIGNS), plain)
+    return " ".join(w.translate(DIGITS) for w in _WORD.findall(plain) if _HAS_LETTER.search(w))
+
+
+_remembered = lru_cache(maxsize=1 << 18)(_folded)
+
+
 def fold(text: str) -> str:
     """Folded words with a blank before each and after the last; a word is letters and digits with at
-    least one letter."""
-    plain = unicodedata.normalize("NFKD", text).lower()
-    plain = regex.sub(r"\p{M}+", "", plain).translate(LOOK_ALIKE)
-    plain = _SIGN.sub(lambda m: m.group().translate(SIGNS), plain)
-    words = [w.translate(DIGITS) for w in _WORD.findall(plain) if _HAS_LETTER.search(w)]
-    return f" {' '.join(words)} " if words else ""
+    least one letter. Folding looks no further than white space, and most words come again."""
+    words = " ".join(filter(None, [_remembered(t) if len(t) < 40 else _folded(t) for t in text.split()]))
+    return f" {words} " if words else ""
+
+
+def covered(phrases: list[tuple[int, int]], spans: list[tuple[int, int]]) -> list[bool]:
+    """Which spans lie inside one of the phrases, whose last place is a blank."""
+    if not phrases:
+        return [False] * len(spans)
+    phrases = sorted(phrases)
+    starts, reach = np.array([p[0] for p in phrases]), np.maximum.accumulate([p[1] for p in phrases])
+    out = []
+    for start, end in spans:
+        at = int(np.searchsorted(starts, start, "right")) - 1
+        out.append(at >= 0 and bool(reach[at] >= end))
+    return out
 
 
 @dataclass
@@ -125,15 +149,20 @@ class Model:
                 phrases.append((start, last))
             elif start not in best or weight > best[start][1]:
                 best[start] = (last + 1, weight)
-        if phrases:
-            phrases.sort()
-            starts = [p[0] for p in phrases]
-            reach = np.maximum.accumulate([p[1] for p in phrases])
-            for start in list(best):
-                at = np.searchsorted(starts, start, "right") - 1
-                if at >= 0 and reach[at] >= best[start][0]:
-                    del best[start]
-        return [(start, end, weight) for start, (end, weight) in sorted(best.items())]
+        inside = covered(phrases, [(start, end) for start, (end, _) in best.items()])
+        return sorted((start, end, weight) for (start, (end, weight)), out in zip(best.items(), inside) if not out)
+
+    def open_words(self, folded: str) -> list[str]:
+        """The words that lie in no exception phrase."""
+        words = folded.split()
+        if not self.exceptions or not words:
+            return words
+        phrases = [(last + 1 - size, last) for last, (size, weight) in self.automaton().iter(folded) if weight is None]
+        if not phrases:
+            return words
+        ends = np.cumsum([len(w) + 1 for w in words]).tolist()
+        inside = covered(phrases, [(e - len(w) - 1, e) for e, w in zip(ends, words)])
+        return [w for w, out in zip(words, inside) if not out]
 
     def measure(self, text: str | None) -> tuple[float, int]:
         """The summed weights and the number of words of a whole text."""
@@ -152,11 +181,11 @@ class Model:
         return 1 / (1 + math.exp(-z)) if z > -500 else 0.0
 
 
-def beginnings(text: str | None) -> set[str]:
-    """The beginnings of the words of a text, each once."""
+def beginnings(model: Model, text: str | None) -> set[str]:
+    """The beginnings of the words of a text outside exception phrases, each once."""
     words: set[str] = set()
     for part in slices(text or ""):
-        words.update(fold(part).split())
+        words.update(model.open_words(fold(part)))
     return {w[:n] for w in words for n in range(SHORTEST, min(len(w), LONGEST) + 1)}
 
 
@@ -173,7 +202,9 @@ def evidence(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -
     return 2 * (part(toxic, n_toxic) + part(clean, n_clean))
 
 
-def chosen(counts: dict[str, tuple[int, int]], n_toxic: int, n_clean: int, kept: float = 0.9) -> dict[str, float]:
+def chosen(
+    counts: dict[str, tuple[int, int]], n_toxic: int, n_clean: int, least_odds: float = LEAST_ODDS, kept: float = 0.9
+) -> dict[str, float]:
     """Weights of the beginnings to use, from their toxic and clean document counts. A beginning gives
     way to a longer one with at least `kept` of its toxic documents; a longer one adds nothing below
     a beginning that is used already, unless it is much clearer."""
@@ -181,7 +212,7 @@ def chosen(counts: dict[str, tuple[int, int]], n_toxic: int, n_clean: int, kept:
     toxic = np.array([counts[n][0] for n in names], np.float64)
     clean = np.array([counts[n][1] for n in names], np.float64)
     odds = np.log((toxic + 0.5) / (n_toxic + 1)) - np.log((clean + 0.5) / (n_clean + 1))
-    good = (evidence(toxic, clean, n_toxic, n_clean) >= EVIDENCE) & (odds >= LEAST_ODDS)
+    good = (evidence(toxic, clean, n_toxic, n_clean) >= EVIDENCE) & (odds >= least_odds)
     weight = {n: float(o) for n, o, g in zip(names, odds, good) if g}
     longer: Counter[str] = Counter()
     for name in weight:
@@ -278,17 +309,24 @@ def train(
     learning = rows.where("part > 0")
     # A beginning below this many toxic documents cannot reach the evidence asked for.
     least = max(2, math.floor(EVIDENCE / 2 / math.log((n_toxic + n_clean) / n_toxic + 1)))
-    often = F.col("toxic") / n_toxic > F.col("clean") / n_clean * 4
-    counts = _tally(learning, beginnings).where((F.col("toxic") >= least) & often)
-    first = counts.orderBy(F.desc("toxic"), "term").limit(20 * ENTRIES).collect()
-    weights = chosen({r["term"]: (r["toxic"], r["clean"]) for r in first}, n_toxic, n_clean)
+
+    def lexicon(model: Model, least_odds: float) -> dict[str, float]:
+        often = F.col("toxic") / n_toxic >= F.col("clean") / n_clean * math.exp(least_odds) / 2
+        counts = _tally(learning, lambda t: beginnings(model, t)).where((F.col("toxic") >= least) & often)
+        first = counts.orderBy(F.desc("toxic"), "term").limit(20 * ENTRIES).collect()
+        return chosen({r["term"]: (r["toxic"], r["clean"]) for r in first}, n_toxic, n_clean, least_odds)
+
+    # Words that toxic documents have somewhat more often show which phrases are harmless; outside of
+    # those phrases they are counted again.
     given = tuple(sorted({fold(e).strip() for e in exceptions} - {""}))
-    model = Model(weights, given)
-    pairs = _tally(learning, lambda t: neighbours(model, t)).where(F.col("clean") >= 3)
+    draft = Model(lexicon(Model({}, given), math.log(1.5)), given)
+    pairs = _tally(learning, lambda t: neighbours(draft, t)).where(F.col("clean") >= 3)
     # Pairs that clean documents show at least as often as toxic ones, by rate.
     pairs = pairs.where((F.col("clean") + 0.5) / (n_clean + 1) >= (F.col("toxic") + 0.5) / (n_toxic + 1))
     learned = [r["term"] for r in pairs.orderBy(F.desc("clean"), "term").limit(ENTRIES).collect()]
-    model = Model(weights, tuple(sorted({*given, *learned})))
+    weights = lexicon(Model({}, (*given, *learned)), LEAST_ODDS)
+    needed = [p for p in learned if any(w[:n] in weights for w in p.split() for n in range(SHORTEST, len(w) + 1))]
+    model = Model(weights, tuple(sorted({*given, *needed})))
     apart = measured(rows.where("part = 0"), model)
     if len(set(apart["toxic"].tolist())) < 2:
         apart = measured(rows, model)

@@ -60,9 +60,9 @@ def test_sketches_agree_as_often_as_both_kmers_do():
         a = [draw.choice(VOCABULARY) for _ in range(200)]
         b = edited(a, 6, draw)
         x, y = (neardup.word_hashes(" ".join(w)) for w in (a, b))
-        k, m = neardup.labelled_kmers(x), neardup.labelled_kmers(y)
+        k, m = neardup.labelled_kmers(x, 5), neardup.labelled_kmers(y, 5)
         shares.append(len(np.intersect1d(k, m)) / len(np.union1d(k, m)))
-        agreed.append(np.mean(neardup.sketch(x) == neardup.sketch(y)))
+        agreed.append(np.mean(neardup.sketch(x, 5) == neardup.sketch(y, 5)))
     assert abs(np.mean(agreed) - np.mean(np.square(shares))) < 0.06
 
 
@@ -72,9 +72,9 @@ def test_order_and_occurrence_count():
     forward, backward = "a b c d e f g h i j", "f g h i j a b c d e"
     assert (neardup.sketch(words(forward)) != neardup.sketch(words(backward))).any()
     repeated = neardup.labelled_kmers(words("x " * 20))
-    assert len(set(repeated.tolist())) == 16
-    once = neardup.labelled_kmers(words("a b c d e"))
-    assert np.isin(once, neardup.labelled_kmers(words("a b c d e a b c d e"))).all()
+    assert len(set(repeated.tolist())) == 18
+    once = neardup.labelled_kmers(words("a b c d e"), 5)
+    assert np.isin(once, neardup.labelled_kmers(words("a b c d e a b c d e"), 5)).all()
 
 
 def plain_groups(docs, least=0.8):
@@ -181,14 +181,75 @@ def test_pairs_at_the_threshold_share_a_bucket(spark, edits):
     assert sum((sketches[i] == sketches[i + 1]).any() for i in range(0, 400, 2)) >= 0.96 * 200
 
 
-def test_pairs_are_ruled_out_by_shared_words_only():
+def test_word_counts_rule_out_no_pair_that_could_count():
     draw = random.Random(5)
-    words = [np.array([draw.randint(1, 6) for _ in range(draw.randint(1, 12))], np.uint32) for _ in range(40)]
-    got = neardup.not_ruled_out(words)
+    words = [np.array([draw.randint(1, 600) for _ in range(draw.randint(1, 40))], np.uint32) for _ in range(60)]
+    words += [np.r_[w[: len(w) // 2], w[len(w) // 2 + 1 :], np.uint32(7)] for w in words[:30]]
+    bins = np.stack([neardup.counted(w) for w in words]).astype(np.int32)
+    sizes, others = np.array([len(w) for w in words]), np.arange(len(words))
+    passed = 0
     for i, a in enumerate(words):
+        left, share = neardup.near(bins, sizes, i, others, 0.8)
+        passed += len(left)
         for j, b in enumerate(words):
-            shared = sum(min(np.sum(a == w), np.sum(b == w)) for w in range(1, 7))
-            assert i == j or got[i, j] == (min(len(a), len(b), shared) >= 0.8 * max(len(a), len(b)) - 1e-9)
+            far = distance(a.tolist(), b.tolist()) / max(len(a), len(b))
+            assert far > 0.2 or j in left
+            assert j not in left or share[left.tolist().index(j)] <= far + 1e-9
+    assert passed < len(words) * 6
+
+
+def named_pairs(spark, monkeypatch, docs):
+    """How many pairs the rounds after the heads name, and the classes."""
+    counts, plain = [], neardup.rest_pairs
+
+    def counting(*args):
+        found = written(plain(*args), "named")
+        counts.append(found.count())
+        return found
+
+    monkeypatch.setattr(neardup, "rest_pairs", counting)
+    classes = {r["doc_id"]: r["class_id"] for r in neardup.groups(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    monkeypatch.setattr(neardup, "rest_pairs", plain)
+    return sum(counts), classes
+
+
+def test_named_pairs_grow_with_the_members(spark, monkeypatch):
+    """Copies of one text, each changed by itself so much that most are not similar to the head."""
+    found = {}
+    for n in (200, 800):
+        draw = random.Random(8)
+        base = [draw.choice(VOCABULARY) for _ in range(60)]
+        docs = [(i, " ".join(draw.choice(VOCABULARY) if j in changed else w for j, w in enumerate(base)))
+                for i in range(n) for changed in [set(draw.sample(range(60), 8))]]
+        found[n], _ = named_pairs(spark, monkeypatch, docs)
+    assert 0 < found[800] <= 6 * found[200]
+
+
+def test_documents_that_share_a_passage_name_few_pairs(spark, monkeypatch):
+    draw = random.Random(9)
+    passage = [draw.choice(VOCABULARY) for _ in range(30)]
+    docs = [(i, " ".join(passage + [f"w{draw.randrange(5000)}" for _ in range(60)])) for i in range(800)]
+    pairs, classes = named_pairs(spark, monkeypatch, docs)
+    assert pairs < 800 and all(i == c for i, c in classes.items())
+
+
+def test_an_id_with_two_texts_keeps_the_links_of_both(spark):
+    draw = random.Random(10)
+    first, second = ([draw.choice(VOCABULARY) for _ in range(60)] for _ in range(2))
+    docs = [(5, " ".join(first)), (5, " ".join(second)), (6, " ".join(edited(first, 2, draw))), (7, " ".join(edited(second, 2, draw))),
+            (None, " ".join(edited(first, 3, draw)))]
+    for rows in (docs, docs[::-1]):
+        frame = spark.createDataFrame(rows, "doc_id long, text string")
+        got = {(r["doc_id"], r["class_id"], r["class_size"], r["links"] > 0) for r in neardup.groups(frame).collect()}
+        assert got == {(5, 5, 3, True), (5, 5, 2, True), (6, 5, 3, True), (7, 5, 2, True), (None, 5, 3, True)}
+        kept = sorted((tuple(r) for r in neardup.one_of_each(frame).collect()), key=str)
+        assert kept == sorted([docs[0], docs[1], docs[4]], key=str)
+
+
+def test_one_of_each_with_maps_and_clashing_names(spark):
+    docs = spark.sql("SELECT id AS doc_id, 'one two three' AS text, map('a', id) AS m, 1 AS `a.b`, 2 AS _kept_id, 3 AS c0 FROM range(4)")
+    kept = neardup.one_of_each(docs)
+    assert kept.columns == docs.columns and [r["doc_id"] for r in kept.collect()] == [0]
 
 
 def test_pipeline_stages(spark):
