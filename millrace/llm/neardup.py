@@ -38,8 +38,8 @@ from .components import components
 PICKED, SKETCHES, SIMILARITY = 2, 40, 0.8
 RUN = 3  # words of the k-mers in the buckets: at a similarity of 0.8 runs of three agree far more often than of five
 BAND, CELLS = 16, 1 << 21
-BINS, TILE = 256, 512  # bins of the word counts, documents of a tile, about
-NEAREST = 2  # partners a document names in a round, before all are looked at
+BINS, TILE = 512, 512  # bins of the word counts, documents of a tile, about
+NEAREST = 4  # partners a document names in a round, before all are looked at
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = mixed(np.arange(1, SKETCHES + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -244,10 +244,10 @@ def sketched(docs: DataFrame, ident: str, text: str) -> DataFrame:
 
 
 def buckets(rows: DataFrame) -> DataFrame:
-    """`key, _id, _n, head, head_n` of documents `_id, _sketch, _n` in each bucket of more than one; the
+    """`key, _at, _id, _n, head, head_n` of documents `_id, _sketch, _n` in each bucket of more than one; the
     head is the smallest id."""
     members = rows.select("_id", "_n", F.posexplode("_sketch").alias("_at", "_value"))
-    members = members.select("_id", "_n", F.xxhash64("_at", "_value").alias("key"))
+    members = members.select("_id", "_n", F.col("_at").cast("short").alias("_at"), F.xxhash64("_at", "_value").alias("key"))
     heads = members.groupBy("key").agg(
         F.min("_id").alias("head"), F.min_by("_n", "_id").alias("head_n"), F.count(F.lit(1)).alias("n")
     )
@@ -280,10 +280,10 @@ def near(bins: np.ndarray, sizes: np.ndarray, at: int, others: np.ndarray, least
 
 
 def open_members(shared: DataFrame, roots: DataFrame) -> DataFrame:
-    """`key, _id, _n, _root, outside, tiles, _tile` of members of buckets with several components; `outside`
+    """`key, _at, _id, _n, _root, outside, tiles, _tile` of members of buckets with several components; `outside`
     are those that are not in the largest one. Heads have been compared with all of their bucket."""
     known = roots.select(F.col("node").alias("_id"), F.col("root").alias("_root"))
-    members = shared.where("_id <> head").select("key", "_id", "_n").join(known, "_id", "left")
+    members = shared.where("_id <> head").select("key", "_at", "_id", "_n").join(known, "_id", "left")
     members = written(members.withColumn("_root", F.coalesce("_root", "_id")), "members")
     parts = members.groupBy("key", "_root").agg(F.count(F.lit(1)).alias("n"))
     open_ = parts.groupBy("key").agg(
@@ -296,13 +296,14 @@ def open_members(shared: DataFrame, roots: DataFrame) -> DataFrame:
 
 def rest_pairs(members: DataFrame, singles: DataFrame, nearest: int | None, least: float = SIMILARITY) -> DataFrame:
     """`a, b` (a < b) of the pairs of a bucket that lie in different components and may be similar by their
-    word counts: all of them, or the `nearest` ones of each member outside the largest component."""
-    bins = singles.select("_id", "_bins").join(members.select("_id").distinct(), "_id", "left_semi")
+    word counts: all of them, or of each member outside the largest component the `nearest`, those with most
+    equal sketches. A pair that shares several buckets is looked at in the first of them only."""
+    bins = singles.select("_id", "_bins", "_sketch").join(members.select("_id").distinct(), "_id", "left_semi")
     full = members.join(bins, "_id")
     other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
     full = full.withColumn("_other", other).select(
         "key", F.least("_tile", "_other").alias("i"), F.greatest("_tile", "_other").alias("j"),
-        "_id", "_n", "_root", "_tile", "outside", "_bins",
+        "_at", "_id", "_n", "_root", "_tile", "outside", "_bins", "_sketch",
     )
     full = full.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
@@ -310,23 +311,30 @@ def rest_pairs(members: DataFrame, singles: DataFrame, nearest: int | None, leas
         ids, sizes, roots, tile = (rows.column(k).to_numpy() for k in ("_id", "_n", "_root", "_tile"))
         outside = rows.column("outside").to_numpy(zero_copy_only=False)
         counts = np.frombuffer(b"".join(rows.column("_bins").to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int32)
+        sketches = rows.column("_sketch").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+        bucket = rows.column("_at")[0].as_py()
         apart = rows.column("i")[0].as_py() != rows.column("j")[0].as_py()
-        left, right, lower = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        left, right, rank = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
         for at in np.flatnonzero(outside):
             others = roots != roots[at]
             if apart:
                 others &= tile != tile[at]
             if nearest is None:  # a pair of two members outside is named by the smaller
                 others &= ~outside | (ids > ids[at])
-            others, share = near(counts, sizes, at, np.flatnonzero(others), least)
+            others = np.flatnonzero(others)
+            equal = sketches[others] == sketches[at]
+            here = ~equal[:, :bucket].any(axis=1)
+            others, differ = others[here], (1 - equal[here].mean(axis=1))
+            fit, share = near(counts, sizes, at, others, least)
+            differ = differ[np.isin(others, fit, assume_unique=True)] + share / 1000
             if nearest is not None:
-                kept = np.lexsort((ids[others], share))[:nearest]
-                others, share = others[kept], share[kept]
-            left.append(np.full(len(others), ids[at]))
-            right.append(ids[others])
-            lower.append(share)
-        columns = [pa.array(np.concatenate(c)) for c in (left, right, lower)]
-        return pa.RecordBatch.from_arrays(columns, names=["x", "y", "lower"])
+                kept = np.lexsort((ids[fit], differ))[:nearest]
+                fit, differ = fit[kept], differ[kept]
+            left.append(np.full(len(fit), ids[at]))
+            right.append(ids[fit])
+            rank.append(differ)
+        columns = [pa.array(np.concatenate(c)) for c in (left, right, rank)]
+        return pa.RecordBatch.from_arrays(columns, names=["x", "y", "differ"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left: list[pa.Table] = []  # of the group that goes on in the next batch
@@ -343,10 +351,9 @@ def rest_pairs(members: DataFrame, singles: DataFrame, nearest: int | None, leas
         for table in left:
             yield pairs_of(table)
 
-    named = full.mapInArrow(work, "x long, y long, lower double")
+    named = full.mapInArrow(work, "x long, y long, differ double")
     if nearest is not None:
-        named = named.distinct()
-        order = Window.partitionBy("x").orderBy("lower", "y")
+        order = Window.partitionBy("x").orderBy("differ", "y")
         named = named.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= nearest)
     return named.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
