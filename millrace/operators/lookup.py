@@ -55,3 +55,11 @@ def missing_partitions(found: DataFrame, registered: DataFrame, keys: Sequence[s
         equal = found[name].eqNullSafe(registered[name])
         same = equal if same is None else same & equal
     return found.join(registered, same, "left_anti")
+
+
+def rows_of_partitions(df: DataFrame, wanted: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows whose partition columns take one of the value sets that a frame holds. The frame's values
+    prune the partitions that are read, at run time; a partition asked for twice comes once. Nulls in the
+    frame stand for the null partition where all columns are null there."""
+    values = wanted.select(*columns).distinct()
+    return df.join(values, list(columns), "left_semi")

@@ -21,6 +21,7 @@ from ..operators.shape import (
 )
 from ..plans.compaction import commit_staged, forget_commits, is_committed
 from ..spec import MESSAGE_BREAK, OBJECT_KEY, STREAMING_ERROR, SchemaSpec, SinkSpec
+from .bucketed import BucketedTable
 from .keyed import KeyedTable
 from .tables import conform, describe_table
 
@@ -99,7 +100,7 @@ def keyed_location(spark: SparkSession, spec: SinkSpec) -> str:
 class KeyedSink:
     """Rows applied to a keyed table; its changes are folded into the base on an interval."""
 
-    def __init__(self, table: KeyedTable, spec: SinkSpec, schema: SchemaSpec, shape):
+    def __init__(self, table: KeyedTable | BucketedTable, spec: SinkSpec, schema: SchemaSpec, shape):
         self.table, self.spec, self.schema, self.shape = table, spec, schema, shape
         self.order = spec.options.get("order", "sequence")
         self.upkeep_seconds = spec.fold_seconds
@@ -123,7 +124,11 @@ def _keyed_sink(shape, extra: list[str], key: str, patch: bool) -> Callable[...,
             if name not in columns.names:
                 columns = columns.add(name, T.StringType())
         buckets = int(spec.options.get("buckets", 64))
-        table = KeyedTable(spark, keyed_location(spark, spec), columns, [key], buckets, patch)
+        name = spec.options.get("bucketedTable")
+        if name:
+            table = BucketedTable(spark, name, columns, [key], int(spec.options.get("tablePartitions", 64)), buckets, patch)
+        else:
+            table = KeyedTable(spark, keyed_location(spark, spec), columns, [key], buckets, patch)
         return KeyedSink(table, spec, schema, shape)
 
     return factory

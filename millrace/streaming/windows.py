@@ -34,8 +34,8 @@ def tumbling_window(
         timed = df.withColumn("window", window)
         place = F.row_number().over(Window.partitionBy("window", *keys).orderBy(seq, value))
         grouped = timed.withColumn("part", run_of((place - 1).cast("bigint"), rows_per_list)).groupBy("window", *keys, "part")
-    pairs = F.array_sort(F.collect_list(F.struct(seq, value)))
-    lists = grouped.agg(F.transform(pairs, lambda p: p.getField(value)).alias("rows"))
+    pairs = F.array_sort(F.collect_list(F.struct(F.col(seq).alias("s"), F.col(value).alias("v"))))
+    lists = grouped.agg(F.transform(pairs, lambda p: p.getField("v")).alias("rows"))
     part = F.lit(0).cast("bigint").alias("part") if rows_per_list is None else F.col("part")
     return lists.select(
         F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *keys, part, "rows"

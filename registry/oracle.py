@@ -378,3 +378,38 @@ ORACLE["stream_windows"] = """
   SELECT strftime(time_bucket(INTERVAL 10 SECOND, ts), '%Y-%m-%d %H:%M:%S') AS start, event_type,
     string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY event_id) AS users
   FROM events GROUP BY 1, 2"""
+
+# The first event of each buffer, one after the other.
+ORACLE["stream_keyed_buffers"] = """
+  WITH RECURSIVE e AS (SELECT user_id, event_id, epoch_us(ts) AS us FROM events WHERE ts IS NOT NULL),
+  opened AS (
+    SELECT user_id, min(us) AS us FROM e GROUP BY user_id
+    UNION ALL
+    SELECT o.user_id, min(e.us) FROM opened o JOIN e ON e.user_id = o.user_id AND e.us >= o.us + 3600000000 GROUP BY o.user_id, o.us)
+  SELECT e.user_id, event_id, max(o.us) AS opened_us
+  FROM e JOIN opened o ON o.user_id = e.user_id AND o.us <= e.us GROUP BY e.user_id, event_id"""
+ORACLE["state_totals"] = """
+  SELECT CAST(user_id AS VARCHAR) AS key, count(*) AS consumed, CAST(count(*) FILTER (WHERE event_id % 10 < 3) AS BIGINT) AS dirty
+  FROM events GROUP BY user_id"""
+ORACLE["stream_windows_closed"] = ORACLE["stream_windows"]
+ORACLE["stream_file_sink"] = _with("SELECT event_id, from_key, total, to_key FROM v WHERE code IS NULL")
+ORACLE["datasource_sink"] = _with("SELECT event_id, object_key, total FROM v WHERE code IS NULL")
+ORACLE["progress_counts"] = """
+  WITH n AS (SELECT min(event_id) AS low, max(event_id) AS high FROM events)
+  SELECT CAST(least((event_id - low) * 3 // (high - low + 1), 2) AS BIGINT) AS batch, count(*) AS consumed,
+    count(*) FILTER (WHERE event_id % 10 < 3) AS dirty, count(*) AS by_tasks FROM events, n GROUP BY 1"""
+ORACLE["bucketed_merge"] = ORACLE["apply_sequence"]
+ORACLE["pruned_lookup"] = """
+  SELECT l_returnflag, l_linestatus, count(*) AS n, CAST(sum(l_linenumber) AS BIGINT) AS lines FROM lineitem
+  WHERE (l_returnflag, l_linestatus) IN (SELECT (l_returnflag, l_linestatus) FROM lineitem WHERE l_quantity = 50 AND l_returnflag <> 'N')
+  GROUP BY ALL"""
+ORACLE["profile_json_fields"] = f"""WITH {_M},
+  f AS (
+    SELECT '$.from_key' AS path, count(*) AS present, 0 AS n_integer, 0 AS n_number, count(*) AS n_text FROM m
+    UNION ALL SELECT '$.reading.amount', count(total), 0, 0, count(total) FROM m
+    UNION ALL SELECT '$.reading.share', count(ratio), 0, count(ratio), 0 FROM m
+    UNION ALL SELECT '$.object_key', count(object_key), 0, 0, count(object_key) FROM m
+    UNION ALL SELECT '$.s', count(*) FILTER (WHERE r = 8), 0, 0, count(*) FILTER (WHERE r = 8) FROM m
+    UNION ALL SELECT '$.none', 0, 0, 0, 0)
+  SELECT path, CAST(present AS BIGINT) AS present, CAST(n_integer AS BIGINT) AS n_integer, CAST(n_number AS BIGINT) AS n_number,
+    CAST(n_text AS BIGINT) AS n_text, CAST(0 AS BIGINT) AS n_boolean FROM f"""
