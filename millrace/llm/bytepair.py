@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .chars import LETTER, SPACE, char_classes, code_points, few_rows
+from .chars import LETTER, SPACE, char_classes, code_points, add_columns
 
 NO_RANK = np.int32(2**31 - 1)
 LONG = 512
@@ -252,20 +252,14 @@ def encode(docs: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids
     with open(ranks_path, "rb") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in few_rows(whole, text):
-                flat, begins = encode_texts(batch.column(text).to_pylist(), shared.value)
-                lists = pa.ListArray.from_arrays(begins.astype(np.int32), flat)
-                columns, names = [*batch.columns, lists], [*batch.schema.names, ids]
-                if decoded:
-                    columns.append(pa.array(decode_ids(lists, shared.value), pa.binary()))
-                    names.append(decoded)
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+    def compute(columns: dict[str, pa.Array]) -> list[pa.Array]:
+        flat, begins = encode_texts(columns[text].to_pylist(), shared.value)
+        lists = pa.ListArray.from_arrays(begins.astype(np.int32), flat)
+        return [lists, pa.array(decode_ids(lists, shared.value), pa.binary())] if decoded else [lists]
 
     added = [T.StructField(ids, T.ArrayType(T.IntegerType()))]
     added += [T.StructField(decoded, T.BinaryType())] if decoded else []
-    return docs.mapInArrow(work, T.StructType([*docs.schema.fields, *added]))
+    return add_columns(docs, added, compute, [text], text)
 
 
 def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from itertools import chain
 
@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 import regex
+from pyspark.sql import DataFrame, types as T
 
 from ..session import ship_package
 
@@ -52,6 +53,31 @@ def few_rows(batch: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterato
         start = end
 
 
+def add_columns(
+    docs: DataFrame,
+    added: Sequence[T.StructField],
+    compute: Callable[[dict[str, pa.Array]], list[pa.Array]],
+    needs: Sequence[str],
+    sliced: str,
+) -> DataFrame:
+    """`docs` with columns that `compute` makes of the columns it needs, a few rows at a time by the size of
+    `sliced`. The caller's columns may have any names; one named like a result is replaced by it."""
+    names, new = docs.columns, {f.name.lower() for f in added}
+    kept = [i for i, name in enumerate(names) if name.lower() not in new]
+    at = {name: names.index(name) for name in needs}
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    fields = [plain.schema.fields[i] for i in kept] + [T.StructField(f"n{i}", f.dataType) for i, f in enumerate(added)]
+    inner = [f.name for f in fields]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in few_rows(whole, f"c{at[sliced]}"):
+                found = compute({name: batch.column(i) for name, i in at.items()})
+                yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in kept], *found], names=inner)
+
+    return plain.mapInArrow(work, T.StructType(fields)).toDF(*[names[i] for i in kept], *[f.name for f in added])
+
+
 @contextmanager
 def few_records(spark, most: int = 500):
     """Smaller Arrow batches for what is run inside, where a row may hold whole texts."""

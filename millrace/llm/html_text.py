@@ -7,13 +7,15 @@ or the microdata property `articleBody`. Boilerplate inside the region, such as
 paragraphs, scores negative by itself and is left out of the text.
 
 A word stands in the nearest element that says what it is for: by its tag (`nav`, `footer`, ...), its
-role, or a word of its class or id (`menu`, `sidebar`, ...), but in what is content by its tag or a whole
-name only by a whole name (`sidebar`, not `has-sidebar`); elements that say nothing are passed over,
-and where none says anything its block's tag counts. What stands in reader comments is never content.
+role, or a word of its class or id (`menu`, `sidebar`, ...); an element that is content by its tag,
+and blocks inside it, only say something else by a whole name (`sidebar`, not `has-sidebar`). Elements that say
+nothing are passed over, and where none says anything its block's tag counts. The lists of such names only
+give the counts that weights start from; labelled pages overrule them.
 
 Defined results: null and empty html give an empty text; tags that are never closed and pages that
 break off are read as far as they go; a page without any word that scores positive has no text;
-nothing is cut from long pages; repeated rows get one text; other columns are kept.
+nothing is cut from long pages; repeated rows get one text; other columns are kept, but one named like the
+result is replaced.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .chars import few_rows
+from .chars import add_columns
 
 # Fixed values of HTML: elements whose content is no text, and elements that end a block of text.
 RAW = ("script", "style", "textarea", "title", "iframe", "noembed", "noframes", "xmp")
@@ -71,14 +73,16 @@ TOKEN = re.compile(
     r"|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>\x00]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
     re.S,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
 WORD_PARTS = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
-def purpose(tag: str, attrs: str) -> str | None:
-    """What an element is for, or null if it says nothing."""
+def purpose(tag: str, attrs: str, inside: bool = False) -> str | None:
+    """What an element is for, or null if it says nothing. Attributes count by their exact name. Inside a
+    marked article only whole names count, and only those of a block: a paragraph with the class
+    `share-price` or a link with the class `search` is text like its neighbours."""
     by_tag = PURPOSE_OF_TAG.get(tag)
     if not attrs or tag in ("html", "body"):
         return by_tag
@@ -86,15 +90,23 @@ def purpose(tag: str, attrs: str) -> str | None:
     for name, *values in ATTRIBUTE.findall(attrs):
         name = name.lower()
         value = "".join(values)
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
+        if name == "hidden" and value.lower() != "until-found" or name == "aria-hidden" and value.lower() == "true":
             return "hidden"
         if name == "itemprop":
             whole |= {"content"} if "articleBody" in value.split() else set()
-        elif name != "hidden":
+        elif name in ("class", "id", "role"):
+            if name != "id":
+                whole |= {PURPOSE_OF_WORD.get(w) for w in value.lower().split()}
+            elif value.lower() in PURPOSE_OF_WORD:
+                whole.add(PURPOSE_OF_WORD[value.lower()])
             found |= {PURPOSE_OF_WORD.get(w) for w in WORD_PARTS.findall(CAMEL.sub(" ", value).lower())}
-            whole |= {PURPOSE_OF_WORD.get(w) for w in value.lower().split()}
     # What is content by its tag or a whole name is not made boilerplate by a part, as of has-sidebar.
-    found = whole | {"content"} if by_tag == "content" or "content" in whole else found | whole
+    if by_tag == "content":
+        found = whole | {"content"}
+    elif inside:
+        found = whole if tag in BLOCKS else set()
+    else:
+        found = whole | {"content"} if "content" in whole else found | whole
     if {"header", "content"} <= found:  # the head of an article
         found -= {"header"}
     for kind in ("comments", "advert", "notice", "menu", "footer", "form", "sidebar", "header"):
@@ -104,7 +116,9 @@ def purpose(tag: str, attrs: str) -> str | None:
 
 
 def labelled(tag: str, attrs: str) -> bool:
-    return tag in ("article", "main") or "articleBody" in attrs
+    if tag in ("article", "main") or "articleBody" not in attrs:
+        return tag in ("article", "main")
+    return any(name.lower() == "itemprop" and "articleBody" in "".join(v).split() for name, *v in ATTRIBUTE.findall(attrs))
 
 
 def tokens(page: str) -> Iterator[tuple]:
@@ -143,13 +157,13 @@ def tokens(page: str) -> Iterator[tuple]:
                 _close(stack, "p")
             if tag in ("li", "dt", "dd", "option", "tr", "td", "th") and stack and stack[-1][0] == tag:
                 stack.pop()
-            why = purpose(tag, attrs)
             last = stack[-1] if stack else (None, None, False, False, False)
+            why = purpose(tag, attrs, last[4])
             entry = (tag, why, last[2] or tag in HIDDEN or why == "hidden", last[3] or why == "comments", last[4] or labelled(tag, attrs))
             if tag in RAW:
                 end = RAW_END[tag].search(page, at)
                 at = end.start() if end else n
-            elif tag not in VOID and not attrs.endswith("/"):
+            elif tag not in VOID:  # a slash at the end closes nothing in HTML
                 stack.append(entry)
         elif tag not in VOID:
             _close(stack, tag)
@@ -197,22 +211,15 @@ def learn(pages: DataFrame, column: str = "html") -> Weights:
 
 
 def weights_of(counts: dict[str, tuple[int, int]]) -> Weights:
-    """Log-odds of standing inside the article, between -4 and 4. Words of any purpose or block keep
-    the sign of what is known beforehand; tags always cost."""
+    """Log-odds of standing inside the article, between -4 and 4, from the counts of labelled pages and
+    what every weight starts from. Tags always cost."""
     out: Weights = {}
     for key in {*counts, *[f"text {p}" for p in PRIOR]}:
         kind, name = key.split(" ", 1)
         i, o = counts.get(key, (0, 0))
         more, less = PRIOR.get(name, (4.0, 1.0) if kind == "text" else (1.0, 1.0))
         odds = math.log((i + more) / (o + less))
-        if kind == "tag":
-            out[key] = -min(4.0, max(0.1, 1.0 - odds / 2))
-        elif name in BOILERPLATE or name == "hidden":
-            out[key] = max(-4.0, min(-1.0, odds))
-        elif name == "content":
-            out[key] = min(4.0, max(1.0, odds))
-        else:
-            out[key] = max(-4.0, min(4.0, odds))
+        out[key] = -min(4.0, max(0.1, 1.0 - odds / 2)) if kind == "tag" else max(-4.0, min(4.0, odds))
     return out
 
 
@@ -244,10 +251,7 @@ def main_text(page: str | None, weights: Weights) -> str:
 def extract(pages: DataFrame, weights: Weights, column: str = "html", out: str = "text") -> DataFrame:
     """`pages` with the main text of each."""
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in few_rows(whole, column):
-                texts = [main_text(v.as_py(), weights) for v in batch.column(column)]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, out])
+    def compute(columns: dict[str, pa.Array]) -> list[pa.Array]:
+        return [pa.array([main_text(v.as_py(), weights) for v in columns[column]], pa.string())]
 
-    return pages.mapInArrow(work, T.StructType([*pages.schema.fields, T.StructField(out, T.StringType())]))
+    return add_columns(pages, [T.StructField(out, T.StringType())], compute, [column], column)

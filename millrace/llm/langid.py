@@ -8,7 +8,7 @@ document of the sample is kept back to set the temperature of the probabilities.
 
 Defined results: null text and text without a letter are `und` with score 0; without any training
 document all texts are `und`; ties go to the language that sorts first; repeated rows get one answer;
-other columns are kept. Only the text is read for a prediction.
+other columns are kept, but one named like a result is replaced. Only the text is read for a prediction.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .chars import LETTER, char_classes, code_points, few_rows
+from .chars import LETTER, add_columns, char_classes, code_points
 
 BITS, SCALE = 18, 100.0
 FIT_ROWS = 600  # documents of a language in the fit, about
@@ -191,17 +191,13 @@ def predict(docs: DataFrame, model: Model, text: str = "text", lang_pred: str =
     """`docs` with the language of each whole text and its calibrated probability."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learned = shared.value
-        for whole in batches:
-            for batch in few_rows(whole, text):
-                names, scores = [], []
-                for value in batch.column(text):
-                    p = learned.probabilities(value.as_py())
-                    names.append(UNKNOWN if p is None else learned.languages[int(p.argmax())])
-                    scores.append(0.0 if p is None else float(p.max()))
-                extra = [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
-                yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=[*batch.schema.names, lang_pred, score])
+    def compute(columns: dict[str, pa.Array]) -> list[pa.Array]:
+        learned, names, scores = shared.value, [], []
+        for value in columns[text]:
+            p = learned.probabilities(value.as_py())
+            names.append(UNKNOWN if p is None else learned.languages[int(p.argmax())])
+            scores.append(0.0 if p is None else float(p.max()))
+        return [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
 
     added = [T.StructField(lang_pred, T.StringType()), T.StructField(score, T.DoubleType())]
-    return docs.mapInArrow(work, T.StructType([*docs.schema.fields, *added]))
+    return add_columns(docs, added, compute, [text], text)

@@ -10,7 +10,7 @@ is within half a document of its target.
 
 Defined results: null text has size 0 and is taken as 0; a null source is a source of its own; no rows
 give no rows; rows that are equal in id and size may swap places, which leaves the rows of the result
-the same; other columns are kept by `mix` and may have any name.
+the same; other columns are kept by `repeat_documents` and may have any name.
 """
 
 from __future__ import annotations
@@ -76,19 +76,25 @@ def mix_plan(
     max_epochs: float = 3.0,
     share: float = 1.0,
     seed: int = 7,
+    text: str = "text",
+    carry: Sequence[Column] = (),
 ) -> DataFrame:
-    """How often each document is taken: `_id, _size, _total` (its source's size), `_target`, `_times`.
+    """How often each document is taken: `_id, _size, _total` (its source's size), `_target`, `_times`, and
+    what `carry` names.
 
     The seeded order inside a source is that of a digest. Its first three hex digits cut a source
     into 4096 pieces, so no window holds more than a piece; running totals over pieces join them.
     """
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(ident).cast("string"), F.lit(""))))
+    # Rows without an id are told by their text, so that they do not all stand at one place.
+    named = F.coalesce(F.col(ident).cast("string"), F.md5(F.coalesce(F.col(text), F.lit(""))))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), named))
     narrow = docs.select(
         F.col(ident).alias("_id"),
         F.col(source).isNull().alias("_null"),
         F.coalesce(F.col(source).cast("string"), F.lit("")).alias("_source"),
-        (word_count(F.col("text")) if size is None else size).alias("_size"),
+        (word_count(F.col(text)) if size is None else size).alias("_size"),
         digest.alias("_order"),
+        *carry,
     )
     rows = written(narrow.withColumn("_piece", F.substring("_order", 1, 3)), "mix")
     planned = targets(rows, weights, max_epochs, share)
@@ -106,15 +112,15 @@ def mix_plan(
     return joined.withColumn("_times", F.col("_whole") + once_more.cast("long"))
 
 
-def repeat_documents(docs: DataFrame, ident: str = "doc_id", source: str = "source", **options) -> DataFrame:
-    """The mix itself: every document as often as it is taken, with the columns it came with. Rows
-    that are equal in id, source and size share one decision."""
-    plan = mix_plan(docs, ident, source, **options)
-    keys = [F.col("_id"), F.when(~F.col("_null"), F.col("_source")), F.col("_size")]
-    named = [k.alias(f"_mix_key{i}") for i, k in enumerate(keys)]
-    times = plan.groupBy(*named).agg(F.max("_times").alias("_mix_times")).where("_mix_times > 0")
-    size = options.get("size")
-    own = [docs[ident], docs[source].cast("string"), word_count(docs["text"]) if size is None else size]
-    same = own[0].eqNullSafe(F.col("_mix_key0")) & own[1].eqNullSafe(F.col("_mix_key1")) & (own[2] == F.col("_mix_key2"))
-    copies = docs.join(times, same).withColumn("_mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_times"))))
-    return copies.select(*[docs[f"`{c}`"] for c in docs.columns])
+def repeat_documents(docs: DataFrame, ident: str = "doc_id", source: str = "source", text: str = "text", **options) -> DataFrame:
+    """The mix itself: every document as often as it is taken, with the columns it came with. The plan is
+    made for the rows themselves, so rows that are equal are decided on one by one."""
+    names = docs.columns
+    of = {name: f"c{i}" for i, name in enumerate(names)}
+    # Written, so that a row keeps its number.
+    plain = docs.toDF(*of.values()).withColumn("_row", F.monotonically_increasing_id())
+    plain = written(plain, "rows")
+    plan = mix_plan(plain, of[ident], of[source], text=of[text], carry=[F.col("_row")], **options)
+    times = plan.where("_times > 0").select("_row", "_times")
+    copies = plain.join(times, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
+    return copies.select(*of.values()).toDF(*names)

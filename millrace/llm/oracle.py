@@ -8,7 +8,7 @@ ORACLE["op3_mix_sources"] = r"""
 WITH docs AS (
   SELECT doc_id, source, source IS NULL AS no_source,
          len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         md5('7:' || coalesce(doc_id::VARCHAR, '')) AS place
+         md5('7:' || coalesce(doc_id::VARCHAR, md5(coalesce(text, '')))) AS place
   FROM documents),
 sums AS (SELECT no_source, source, sum(size)::BIGINT AS total FROM docs GROUP BY no_source, source),
 sources AS (

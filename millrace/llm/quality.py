@@ -1,8 +1,8 @@
 """Document quality by co-training on two views.
 
 The content view sees the text: hashed runs of character shapes and a few measures of words and lines.
-The metadata view sees what is known about the page without reading it: source, language and length,
-and how it is laid out. Both are logistic regressions, first fitted on a bounded sample of labelled
+The metadata view sees what is known about the page without reading it: source, language and the stated
+length. Both are logistic regressions, first fitted on a bounded sample of labelled
 documents. In every round each view scores all unlabelled documents; those of which it is most
 certain are given to the other view as pseudo-labels, and both are fitted again. At the end both views
 are calibrated on labelled documents kept back, combined by their log-odds, and score all documents.
@@ -13,7 +13,8 @@ the combination is near 0. Nothing but the features (under 400 bytes a document)
 Defined results: null text is scored like empty text, which has no content features; null metadata is
 a value of its own; without labels of both classes every document is scored 1 and kept; a document
 labelled twice counts with its larger label; ties in certainty go to the smaller id; documents with a
-null id are scored but not learned from; repeated rows get one score; other columns are kept.
+null id are scored but not learned from; repeated rows get one score; other columns are kept, but those named
+like a result are replaced.
 """
 
 from __future__ import annotations
@@ -25,13 +26,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..session import written
-from .chars import DIGIT, LETTER, SPACE, char_classes, code_points, few_rows
+from .chars import DIGIT, LETTER, SPACE, add_columns, char_classes, code_points, few_rows
 
 SHAPES, SLICE = 128, 1 << 20
-SOURCES, LANGS, LAYOUT = 32, 16, 6
+SOURCES, LANGS, LENGTH = 32, 16, 4
 FIT_ROWS = 6000  # labelled documents in the fit, about
 ROUNDS, GROWTH, CERTAIN = 3, 200, 0.95
 
@@ -79,20 +80,13 @@ def content_features(text: str | None) -> np.ndarray:
     return np.r_[np.sqrt(shapes / max(1.0, shapes.sum())), measures].astype(np.float16)
 
 
-def metadata_features(text: str | None, source: str | None, lang: str | None, n_chars: int | None) -> np.ndarray:
-    out = np.zeros(SOURCES + LANGS + LAYOUT, np.float16)
+def metadata_features(source: str | None, lang: str | None, n_chars: int | None) -> np.ndarray:
+    """What is known about a page without its text."""
+    out = np.zeros(SOURCES + LANGS + LENGTH, np.float16)
     out[zlib.crc32(f"{source is None}{source}".encode()) % SOURCES] = 1
     out[SOURCES + zlib.crc32(f"{lang is None}{lang}".encode()) % LANGS] = 1
-    breaks = (text or "").count("\n")
-    size = n_chars if n_chars is not None and n_chars >= 0 else len(text or "")
-    out[SOURCES + LANGS :] = [
-        n_chars is None,
-        np.log1p(size) / 12,
-        (np.log1p(size) / 12) ** 2,
-        np.log1p(breaks) / 8,
-        np.log1p(size / (breaks + 1)) / 10,
-        size < 40,
-    ]
+    size = max(0, n_chars or 0)
+    out[SOURCES + LANGS :] = [n_chars is None, np.log1p(size) / 12, (np.log1p(size) / 12) ** 2, size < 40]
     return out
 
 
@@ -161,7 +155,7 @@ def _features(batch: pa.RecordBatch, names: dict[str, str]) -> tuple[np.ndarray,
     """Both views of the rows of a batch."""
     text, source, lang, size = (batch.column(names[k]).to_pylist() for k in ("text", "source", "lang", "n_chars"))
     c = np.array([content_features(t) for t in text], np.float16).reshape(len(text), -1)
-    m = np.array([metadata_features(*r) for r in zip(text, source, lang, size)], np.float16).reshape(len(text), -1)
+    m = np.array([metadata_features(*r) for r in zip(source, lang, size)], np.float16).reshape(len(text), -1)
     return c, m
 
 
@@ -231,13 +225,10 @@ def _most_certain(unlabelled: DataFrame, model: Model, growth: int, taken: list[
     found = unlabelled.select("_id", "_c", "_m").mapInArrow(work, schema).groupBy("view", "label", "_key").agg(
         F.min("_id").alias("_id"), F.min("_c").alias("_c"), F.min("_m").alias("_m"), F.max("sure").alias("sure")
     )
-    parts = [
-        found.where((F.col("view") == v) & (F.col("label") == y)).orderBy(F.col("sure").desc(), "_id").limit(growth)
-        for v in (0, 1)
-        for y in (0, 1)
-    ]
-    union = parts[0].union(parts[1]).union(parts[2]).union(parts[3])
-    return union.toArrow()
+    # One ranking for all views and classes: tasks keep their best before anything moves.
+    order = Window.partitionBy("view", "label").orderBy(F.col("sure").desc(), "_id", "_key")
+    best = found.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= growth)
+    return best.toArrow().sort_by([("view", "ascending"), ("label", "ascending"), ("_place", "ascending")])
 
 
 def co_train(
@@ -314,17 +305,16 @@ def score(docs: DataFrame, model: Model | None, names: dict[str, str] = NAMES, o
     """`docs` with the combined probability of good quality of every document, and that of each view
     (`out` with `_content` and `_metadata`)."""
     columns = [out, f"{out}_content", f"{out}_metadata"]
-    if model is None:
-        return docs.withColumns({n: F.lit(1.0) for n in columns})
+    added = [T.StructField(n, T.DoubleType()) for n in columns]
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    typed = {v: T.StringType() for k, v in names.items() if k in ("source", "lang")}
+    docs = docs.withColumns({v: F.col(f"`{v}`").cast(kind) for v, kind in typed.items() if docs.schema[v].dataType != kind})
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in few_rows(whole, names["text"]):
-                views = [x.astype(np.float64) for x in _features(batch, names)]
-                p = shared.value.probability(*views), *shared.value.views(*views)
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, *[pa.array(x) for x in p]], names=[*batch.schema.names, *columns]
-                )
-
-    return docs.mapInArrow(work, T.StructType([*docs.schema.fields, *[T.StructField(n, T.DoubleType()) for n in columns]]))
+    def compute(found: dict[str, pa.Array]) -> list[pa.Array]:
+        if shared.value is None:
+            return [pa.array(np.ones(len(found[names["text"]]))) for _ in columns]
+        batch = pa.RecordBatch.from_arrays(list(found.values()), names=list(found))
+        views = [x.astype(np.float64) for x in _features(batch, names)]
+        return [pa.array(x) for x in (shared.value.probability(*views), *shared.value.views(*views))]
+
+    return add_columns(docs, added, compute, list(names.values()), names["text"])

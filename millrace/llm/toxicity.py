@@ -38,7 +38,7 @@ import regex
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..session import written
-from .chars import few_rows
+from .chars import add_columns
 
 FIT_ROWS = 6000  # labelled documents of a class in the fit, about
 SHORTEST, LONGEST = 3, 12  # letters of a beginning
@@ -368,14 +368,8 @@ def measured(rows: DataFrame, model: Model) -> dict[str, np.ndarray]:
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
     """`docs` with the score of each whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = [f for f in docs.schema.fields if f.name != out]
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learned = shared.value
-        for whole in batches:
-            for batch in few_rows(whole, text):
-                found = pa.array([learned.score(v.as_py()) for v in batch.column(text)], pa.float64())
-                columns = [batch.column(f.name) for f in kept]
-                yield pa.RecordBatch.from_arrays([*columns, found], names=[*[f.name for f in kept], out])
-
-    return docs.mapInArrow(work, T.StructType([*kept, T.StructField(out, T.DoubleType())]))
+    def compute(columns: dict[str, pa.Array]) -> list[pa.Array]:
+        return [pa.array([shared.value.score(v.as_py()) for v in columns[text]], pa.float64())]
+
+    return add_columns(docs, [T.StructField(out, T.DoubleType())], compute, [text], text)

@@ -57,32 +57,81 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
 
 
 def address(url: Column) -> Column:
-    """What names a page: scheme and host in lower case, no fragment."""
+    """What names a page: scheme and host in lower case, a path, no fragment."""
     plain = F.regexp_replace(url, r"(?s)#.*$", "")
     head = F.regexp_extract(plain, r"(?s)^(.*?://[^/?#]*)", 1)
-    return F.concat(F.translate(head, *LETTERS), F.substr(plain, F.length(head) + 1))
+    rest = F.substr(plain, F.length(head) + 1)
+    slash = F.when((head != "") & ~F.startswith(rest, F.lit("/")), "/").otherwise("")
+    return F.concat(F.translate(head, *LETTERS), slash, rest)
+
+
+TAG = r"""(?is)<(?:link|meta|base)(?=[\s/])(?:[^>"']|"[^"]*"|'[^']*')*>"""
+ATTRIBUTE = r"""(?s)[^\s=>"'/]+\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
+NAMED = ("&amp;", "&"), ("&#38;", "&"), ("&#x26;", "&"), ("&quot;", '"'), ("&#39;", "'")
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """The value of an attribute of a tag by its exact name, trimmed; empty where it is not there."""
+    parts = F.regexp_extract_all(F.regexp_replace(tag, r"^<[a-zA-Z]+", ""), F.lit(ATTRIBUTE), F.lit(0))
+    first = F.get(F.filter(parts, lambda p: F.rlike(p, F.lit(rf"(?is)^{name}\s*="))), 0)
+    value = F.regexp_replace(first, r"(?s)^[^=]*=\s*", "")
+    value = F.regexp_replace(value, r"""(?s)^(?:"(.*)"|'(.*)')$""", "$1$2")
+    for entity, letter in NAMED:
+        value = F.replace(value, F.lit(entity), F.lit(letter))
+    return F.coalesce(F.regexp_replace(value, r"^\s+|\s+$", ""), F.lit(""))
+
+
+def without_dots(url: Column) -> Column:
+    """An absolute address with `.` and `..` taken out of its path."""
+    head = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
+    path = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
+    tail = F.regexp_extract(url, r"(?s)^[^?#]*(.*)$", 1)
+    steps = F.split(F.substr(path, F.lit(2)), "/")
+
+    def step(done: Column, name: Column) -> Column:
+        up = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
+        return F.when(name == ".", done).when(name == "..", up).otherwise(F.concat(done, F.array(name)))
+
+    kept = F.aggregate(steps, F.array().cast("array<string>"), step)
+    folder = F.when(F.rlike(path, F.lit(r"/\.\.?$")) & (F.size(kept) > 0), "/").otherwise("")
+    short = F.concat(head, F.lit("/"), F.array_join(kept, "/"), folder, tail)
+    return F.when(F.rlike(path, F.lit(r"/\.\.?(?:/|$)")), short).otherwise(url)
+
+
+def resolved(link: Column, base: Column) -> Column:
+    """A link of a page as an absolute address; empty for other schemes and places in the page itself."""
+    scheme = F.regexp_extract(base, r"(?s)^(.*?:)//", 1)
+    origin = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1)
+    plain = F.regexp_replace(base, r"(?s)[?#].*$", "")
+    folder = F.regexp_extract(plain, r"(?s)^(.*?://[^/]*.*/|.*?://[^/]*)", 1)
+    whole = (
+        F.when((link == "") | F.startswith(link, F.lit("#")), "")
+        .when(F.rlike(link, F.lit(r"(?s)^[a-zA-Z][a-zA-Z0-9+.-]*://")), link)
+        .when(F.rlike(link, F.lit(r"^[a-zA-Z][a-zA-Z0-9+.-]*:")) | (origin == ""), "")
+        .when(F.startswith(link, F.lit("//")), F.concat(scheme, link))
+        .when(F.startswith(link, F.lit("/")), F.concat(origin, link))
+        .when(F.startswith(link, F.lit("?")), F.concat(plain, link))
+        .otherwise(F.concat(F.regexp_replace(folder, "/$", ""), F.lit("/"), link))
+    )
+    return F.coalesce(without_dots(whole), F.lit(""))
 
 
 def link_targets(html: Column, url: Column) -> Column:
-    """Canonical links and immediate redirects of a page as absolute addresses."""
-    tags = F.regexp_extract_all(html, F.lit(r"(?is)<(?:link|meta)\b[^>]*>"), F.lit(0))
-    tags = F.coalesce(tags, F.array().cast("array<string>"))
-    canonical = F.filter(tags, lambda t: F.rlike(t, F.lit(r"(?is)^<link\b.*\brel\s*=\s*[\"']?\s*canonical\b")))
-    refresh = F.filter(tags, lambda t: F.rlike(t, F.lit(r"(?is)^<meta\b.*\bhttp-equiv\s*=\s*[\"']?\s*refresh\b")))
-    hrefs = F.transform(canonical, lambda t: F.regexp_extract(t, r"(?is)\bhref\s*=\s*[\"']?\s*([^\"'>\s]+)", 1))
-    moves = F.transform(refresh, lambda t: F.regexp_extract(t, r"(?is)\burl\s*=\s*[\"']?\s*([^\"'>\s]+)", 1))
-    found = F.filter(F.concat(hrefs, moves), lambda t: t != "")
-    decoded = F.transform(found, lambda t: F.replace(t, F.lit("&amp;"), F.lit("&")))
-    scheme = F.regexp_extract(url, r"(?s)^(.*?:)//", 1)
-    origin = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
-    folder = F.regexp_extract(F.regexp_replace(url, r"(?s)[?#].*$", ""), r"(?s)^(.*?://[^/]*.*/|.*?://[^/]*)", 1)
-    return F.transform(
-        decoded,
-        lambda t: F.when(F.contains(t, F.lit("://")), t)
-        .when(F.startswith(t, F.lit("//")), F.concat(scheme, t))
-        .when(F.startswith(t, F.lit("/")), F.concat(origin, t))
-        .otherwise(F.concat(F.regexp_replace(folder, "/$", ""), F.lit("/"), t)),
-    )
+    """Canonical links and redirects of a page as absolute addresses. Tags in comments do not count; the
+    first `<base href>` is what links are relative to."""
+    shown = F.regexp_replace(html, r"(?s)<!--.*?(?:-->|\z)", "")
+    tags = F.coalesce(F.regexp_extract_all(shown, F.lit(TAG), F.lit(0)), F.array().cast("array<string>"))
+    of = lambda name: F.filter(tags, lambda t: F.rlike(t, F.lit(rf"(?i)^<{name}\b")))
+    words = lambda value: F.split(F.lower(value), r"\s+")
+    canonical = F.filter(of("link"), lambda t: F.array_contains(words(attribute(t, "rel")), "canonical"))
+    refresh = F.filter(of("meta"), lambda t: F.lower(attribute(t, "http-equiv")) == "refresh")
+    hrefs = F.transform(canonical, lambda t: attribute(t, "href"))
+    target = r"""(?is)\burl\s*=\s*["']?\s*([^"'\s]+)"""
+    moves = F.transform(refresh, lambda t: F.regexp_extract(attribute(t, "content"), target, 1))
+    bases = F.filter(F.transform(of("base"), lambda t: attribute(t, "href")), lambda h: h != "")
+    base = F.coalesce(F.nullif(resolved(F.get(bases, 0), url), F.lit("")), url)
+    found = F.transform(F.concat(hrefs, moves), lambda t: resolved(t, base))
+    return F.filter(found, lambda t: t != "")
 
 
 def alias_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
