@@ -4,7 +4,7 @@ known language, one of each near-duplicate group, mixed by source, and encoded.
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before kept. Defined results are
 those of the operators; in short: null or empty text has no language and goes in the second stage,
 documents without an id are judged like others but all stay in the third, an empty table gives no rows,
-further columns are carried along.
+further columns are carried along up to the last stage, which gives ids, source, language and digests.
 """
 
 from __future__ import annotations
@@ -21,11 +21,16 @@ LEAST_QUALITY, LEAST_CERTAINTY = 0.5, 0.5
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+def kept(found: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of `docs`, whatever their names are."""
+    return found.select(*[F.col(f"`{name}`") for name in docs.columns])
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose probability of good quality is at least one half."""
     model = quality.co_train(docs, table(spark, sf_dir, "labels"))
     scored = quality.score(docs, model, out="_quality")
-    return scored.where(F.col("_quality") >= LEAST_QUALITY).select(docs.columns)
+    return kept(scored.where(F.col("_quality") >= LEAST_QUALITY), docs)
 
 
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +39,7 @@ def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     model = langid.train(docs, ~held_out("doc_id"))
     found = langid.predict(docs, model, lang_pred="_lang", score="_certainty")
     known = (F.col("_lang") != langid.UNKNOWN) & (F.col("_certainty") >= LEAST_CERTAINTY)
-    return found.where(known).select(docs.columns)
+    return kept(found.where(known), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
