@@ -221,7 +221,7 @@ def counted(words: np.ndarray) -> np.ndarray:
 
 
 def sketched(docs: DataFrame, ident: str, text: str) -> DataFrame:
-    """`_id, _digest, _sketch, _words, _bins, _n` of every row. The words are 32-bit hashes, `_n` is their
+    """`_id, _digest, _sketch, _words, _n` of every row. The words are 32-bit hashes, `_n` is their
     number; without words or text there is no sketch."""
     rows = docs.select(F.col(ident).cast("long").alias("_id"), F.md5(text).alias("_digest"), F.col(text).alias("_text"))
 
@@ -234,13 +234,12 @@ def sketched(docs: DataFrame, ident: str, text: str) -> DataFrame:
                 columns = [
                     pa.array(sketches, pa.list_(pa.int64())),
                     pa.array([w.tobytes() for w in short], pa.binary()),
-                    pa.array([counted(w).tobytes() for w in short], pa.binary()),
                     pa.array([len(w) for w in hashes], pa.int64()),
                 ]
-                names = ["_id", "_digest", "_sketch", "_words", "_bins", "_n"]
+                names = ["_id", "_digest", "_sketch", "_words", "_n"]
                 yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_digest"), *columns], names=names)
 
-    return rows.mapInArrow(work, "_id long, _digest string, _sketch array<long>, _words binary, _bins binary, _n long")
+    return rows.mapInArrow(work, "_id long, _digest string, _sketch array<long>, _words binary, _n long")
 
 
 def buckets(rows: DataFrame) -> DataFrame:
@@ -294,12 +293,26 @@ def open_members(shared: DataFrame, roots: DataFrame) -> DataFrame:
     return tiled.withColumn("outside", F.col("_root") != F.col("main")).drop("main")
 
 
-def rest_pairs(members: DataFrame, singles: DataFrame, nearest: int | None, least: float = SIMILARITY) -> DataFrame:
+def signed(singles: DataFrame, members: DataFrame) -> DataFrame:
+    """`_id, _bins, _sketch` of the members: what tiles need to know of a text."""
+    # A merge join at every size, as in `verified`.
+    needed = singles.select("_id", "_words", "_sketch").hint("merge").join(members.select("_id").distinct(), "_id", "left_semi")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bins = [counted(np.frombuffer(w.as_py(), np.uint32)).tobytes() for w in batch.column("_words")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_id"), pa.array(bins, pa.binary()), batch.column("_sketch")], names=["_id", "_bins", "_sketch"]
+            )
+
+    return needed.mapInArrow(work, "_id long, _bins binary, _sketch array<long>")
+
+
+def rest_pairs(members: DataFrame, signs: DataFrame, nearest: int | None, least: float = SIMILARITY) -> DataFrame:
     """`a, b` (a < b) of the pairs of a bucket that lie in different components and may be similar by their
     word counts: all of them, or of each member outside the largest component the `nearest`, those with most
     equal sketches. A pair that shares several buckets is looked at in the first of them only."""
-    bins = singles.select("_id", "_bins", "_sketch").join(members.select("_id").distinct(), "_id", "left_semi")
-    full = members.join(bins, "_id")
+    full = members.join(signs, "_id")
     other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
     full = full.withColumn("_other", other).select(
         "key", F.least("_tile", "_other").alias("i"), F.greatest("_tile", "_other").alias("j"),
@@ -426,9 +439,13 @@ def classes(docs: DataFrame, ident: str, text: str, least: float) -> DataFrame:
         links = written(verified(tested, words, least), "links")
     roots = written(components(links.select("a", "b")), "roots")
     nearest: int | None = NEAREST
+    signs = None
     while True:
         members = written(open_members(shared, roots), "members")
-        named = rest_pairs(members, singles, nearest, least).join(tested, ["a", "b"], "left_anti")
+        if signs is None:  # later rounds have no further members
+            with few_records(docs.sparkSession):
+                signs = written(signed(singles, members), "signs")
+        named = rest_pairs(members, signs, nearest, least).join(tested, ["a", "b"], "left_anti")
         named = written(named, "pairs")
         with few_records(docs.sparkSession):
             found = written(verified(named, words, least), "links")
