@@ -38,7 +38,7 @@ from .components import components
 PICKED, SKETCHES, SIMILARITY = 2, 40, 0.8
 RUN = 3  # words of the k-mers in the buckets: at a similarity of 0.8 runs of three agree far more often than of five
 BAND, CELLS = 16, 1 << 21
-BINS, TILE = 512, 512  # bins of the word counts, documents of a tile, about
+BINS, TILE = 512, 1024  # bins of the word counts, documents of a tile, about
 NEAREST = 4  # partners a document names in a round, before all are looked at
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = mixed(np.arange(1, SKETCHES + 1, dtype=np.uint64)) | np.uint64(1)
@@ -323,7 +323,7 @@ def rest_pairs(members: DataFrame, signs: DataFrame, nearest: int | None, least:
     def pairs_of(rows: pa.Table) -> pa.RecordBatch:
         ids, sizes, roots, tile = (rows.column(k).to_numpy() for k in ("_id", "_n", "_root", "_tile"))
         outside = rows.column("outside").to_numpy(zero_copy_only=False)
-        counts = np.frombuffer(b"".join(rows.column("_bins").to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int32)
+        counts = np.frombuffer(b"".join(rows.column("_bins").to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16)
         sketches = rows.column("_sketch").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
         bucket = rows.column("_at")[0].as_py()
         apart = rows.column("i")[0].as_py() != rows.column("j")[0].as_py()
