@@ -166,12 +166,12 @@ def recover_compaction(spark: SparkSession, path: str) -> None:
     commit.recover(spark, fs, f"{fs.qualified(path)}/{WORK}")
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """The rows of a table, each once, also while a published merge is being finished:
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
+    """The rows of a table with the columns of all its files, or those of `schema`, each row once, also while a published merge is being finished:
     of the merged files and those they came from, only one side is read."""
     fs = Files(spark, path)
     root = fs.qualified(path)
-    loaded = spark.read.format(fmt).load(root)
+    loaded = spark.read.format(fmt).schema(schema or merged_schema(spark, root, fmt)).load(root)
     rows = loaded.select("*", plain_path(F.col("_metadata.file_path")).alias(FILE))
     for name in fs.names(f"{root}/{WORK}"):
         unit = f"{root}/{WORK}/{name}"

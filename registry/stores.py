@@ -156,6 +156,22 @@ def table_sink_text(spark, sf):
     return _table_sink(spark, sf, "csv", sep="|")
 
 
+@query
+def parquet_readback(spark, sf):
+    """Every column of a table through Parquet files."""
+    path = scratch_path(spark, "parquet")
+    table(spark, sf, "orders").write.parquet(path)
+    return spark.read.parquet(path).withColumn("o_orderdate", _day("o_orderdate"))
+
+
+@query
+def orc_readback(spark, sf):
+    """Every column of a table through ORC files."""
+    path = scratch_path(spark, "orc")
+    table(spark, sf, "orders").write.orc(path)
+    return spark.read.orc(path).withColumn("o_orderdate", _day("o_orderdate"))
+
+
 @query
 def user_sink(spark, sf):
     """Good rows through a sink of the user's own."""
@@ -199,7 +215,7 @@ def compacted_evolved(spark, sf):
     rows.where(odd).drop("l_tax", "l_shipdate").repartition(5).write.parquet(path)
     rows.where(~odd).repartition(5).write.mode("append").parquet(path)
     compaction.compact(spark, path, policy=RollingPolicy(enabled=True, max_part_bytes=150_000, rollover_seconds=0))
-    return spark.read.option("mergeSchema", "true").parquet(path).withColumn("l_shipdate", _day("l_shipdate"))
+    return compaction.read_table(spark, path).withColumn("l_shipdate", _day("l_shipdate"))
 
 
 @query

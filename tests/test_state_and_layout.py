@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import lookup, profile
 from millrace.operators.changes import apply_batch, upsert_patch
+from millrace.plans import compaction
 from millrace.session import scratch_path, written
 from millrace.sources.bucketed import PART, BucketedTable
 from millrace.sources.sinks import SEQ, build_sink
@@ -258,3 +259,11 @@ def test_json_fields_of_mixed_rows(spark):
     assert got == {"$.a": (4, 1, 1, 1, 1), "$.b.c": (1, 0, 0, 1, 0), "$.z": (0, 0, 0, 0, 0)}
     empty = profile.profile_json_fields(rows.limit(0), "value", ["$.a"]).collect()
     assert [tuple(r) for r in empty] == [("$.a", 0, 0, 0, 0, 0)]
+
+
+def test_a_table_of_files_with_different_columns_is_read_whole(spark):
+    path = scratch_path(spark, "evolved")
+    spark.sql("SELECT 1 AS a, 2 AS b").coalesce(1).write.parquet(path)
+    spark.sql("SELECT 3 AS a, 4 AS b, 5 AS c").coalesce(1).write.mode("append").parquet(path)
+    found = compaction.read_table(spark, path)
+    assert found.columns == ["a", "b", "c"] and sorted(map(tuple, found.collect())) == [(1, 2, None), (3, 4, 5)]
