@@ -11,7 +11,7 @@ an empty table gives no rows; other columns may have any name.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -98,13 +98,13 @@ def without_dots(url: Column) -> Column:
     return F.when(F.rlike(path, F.lit(r"/\.\.?(?:/|$)")), short).otherwise(url)
 
 
-def resolved(link: Column, base: Column) -> Column:
-    """A link of a page as an absolute address; empty for other schemes and places in the page itself."""
+def joined_link(link: Column, base: Column) -> Column:
+    """A link behind the address it is relative to; empty for other schemes and places in the page itself."""
     scheme = F.regexp_extract(base, r"(?s)^(.*?:)//", 1)
     origin = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1)
     plain = F.regexp_replace(base, r"(?s)[?#].*$", "")
     folder = F.regexp_extract(plain, r"(?s)^(.*?://[^/]*.*/|.*?://[^/]*)", 1)
-    whole = (
+    return (
         F.when((link == "") | F.startswith(link, F.lit("#")), "")
         .when(F.rlike(link, F.lit(r"(?s)^[a-zA-Z][a-zA-Z0-9+.-]*://")), link)
         .when(F.rlike(link, F.lit(r"^[a-zA-Z][a-zA-Z0-9+.-]*:")) | (origin == ""), "")
@@ -113,7 +113,17 @@ def resolved(link: Column, base: Column) -> Column:
         .when(F.startswith(link, F.lit("?")), F.concat(plain, link))
         .otherwise(F.concat(F.regexp_replace(folder, "/$", ""), F.lit("/"), link))
     )
-    return F.coalesce(without_dots(whole), F.lit(""))
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value as the argument of a lambda, so that a long expression stands in the plan once,
+    however often it is read."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def resolved(link: Column, base: Column) -> Column:
+    """A link of a page as an absolute address; empty where `joined_link` is."""
+    return F.coalesce(bound(joined_link(link, base), without_dots), F.lit(""))
 
 
 def link_targets(html: Column, url: Column) -> Column:
@@ -121,17 +131,26 @@ def link_targets(html: Column, url: Column) -> Column:
     first `<base href>` is what links are relative to."""
     shown = F.regexp_replace(html, r"(?s)<!--.*?(?:-->|\z)", "")
     tags = F.coalesce(F.regexp_extract_all(shown, F.lit(TAG), F.lit(0)), F.array().cast("array<string>"))
-    of = lambda name: F.filter(tags, lambda t: F.rlike(t, F.lit(rf"(?i)^<{name}\b")))
-    words = lambda value: F.split(F.lower(value), r"\s+")
-    canonical = F.filter(of("link"), lambda t: F.array_contains(words(attribute(t, "rel")), "canonical"))
-    refresh = F.filter(of("meta"), lambda t: F.lower(attribute(t, "http-equiv")) == "refresh")
-    hrefs = F.transform(canonical, lambda t: attribute(t, "href"))
     target = r"""(?is)\burl\s*=\s*["']?\s*([^"'\s]+)"""
-    moves = F.transform(refresh, lambda t: F.regexp_extract(attribute(t, "content"), target, 1))
-    bases = F.filter(F.transform(of("base"), lambda t: attribute(t, "href")), lambda h: h != "")
-    base = F.coalesce(F.nullif(resolved(F.get(bases, 0), url), F.lit("")), url)
-    found = F.transform(F.concat(hrefs, moves), lambda t: resolved(t, base))
-    return F.filter(found, lambda t: t != "")
+
+    def named(tags: Column, name: str) -> Column:
+        return F.filter(tags, lambda t: F.rlike(t, F.lit(rf"(?i)^<{name}\b")))
+
+    def links(tags: Column) -> Column:
+        words = lambda tag: F.split(F.lower(attribute(tag, "rel")), r"\s+")
+        canonical = F.filter(named(tags, "link"), lambda t: F.array_contains(words(t), "canonical"))
+        refresh = F.filter(named(tags, "meta"), lambda t: F.lower(attribute(t, "http-equiv")) == "refresh")
+        hrefs = F.transform(canonical, lambda t: attribute(t, "href"))
+        return F.concat(hrefs, F.transform(refresh, lambda t: F.regexp_extract(attribute(t, "content"), target, 1)))
+
+    def base(tags: Column) -> Column:
+        hrefs = F.filter(F.transform(named(tags, "base"), lambda t: attribute(t, "href")), lambda h: h != "")
+        return F.coalesce(F.nullif(resolved(F.get(hrefs, 0), url), F.lit("")), url)
+
+    def absolute(tags: Column) -> Column:
+        return bound(base(tags), lambda page: F.transform(links(tags), lambda t: resolved(t, page)))
+
+    return F.filter(bound(tags, absolute), lambda t: t != "")
 
 
 def alias_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
