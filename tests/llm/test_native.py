@@ -115,6 +115,20 @@ def test_components_match_union_find(spark, seed):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_chains_stars_and_random_edges(spark):
+    numbers = random.Random(5)
+    cases = [[(i, i + 1) for i in range(20)], [(0, i) for i in range(1, 100)], [(99, i) for i in range(99)], [(3, 2), (2, 3), (2, 1), (None, 1)]]
+    cases.append([(numbers.randrange(200), numbers.randrange(200)) for _ in range(110)])
+    for edges in cases:
+        root = {n: n for e in edges if None not in e and e[0] != e[1] for n in e}
+        for _ in root:
+            for a, b in edges:
+                if a in root and b in root:
+                    root[a] = root[b] = min(root[a], root[b])
+        rows = components(spark.createDataFrame(edges, "a long, b long")).collect()
+        assert len(rows) == len(root) and {r["node"]: r["root"] for r in rows} == root
+
+
 RULES = (urls.Rule("allow", "com"), urls.Rule("block", "bad.net"), urls.Rule("block", "example.com", "/en/"))
 
 
