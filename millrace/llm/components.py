@@ -13,12 +13,12 @@ SALTS = 32  # pieces of the neighbours of a node
 def _least_neighbour(edges: DataFrame, own: bool) -> DataFrame:
     """`u, v, m` of edges `u, v`, with the smallest neighbour of u (or u itself, where `own`). The edges of
     a node are dealt to `SALTS` pieces; only one number of each piece meets those of the others."""
-    salted = edges.withColumn("_salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+    salted = edges.withColumn("_salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).repartition("u", "_salt")
     pieces = salted.groupBy("u", "_salt").agg(F.min("v").alias("_m"))
-    whole = pieces.groupBy("u").agg(F.min("_m").alias("m"))
+    whole = pieces.groupBy("u").agg(F.min("_m").alias("m"), F.collect_list("_salt").alias("_salts"))
     if own:
-        whole = whole.select("u", F.least("m", "u").alias("m"))
-    of_piece = pieces.select("u", "_salt").join(whole, "u")
+        whole = whole.withColumn("m", F.least("m", "u"))
+    of_piece = whole.select("u", F.explode("_salts").alias("_salt"), "m")  # at most `SALTS` rows of a node
     return salted.join(of_piece, ["u", "_salt"]).select("u", "v", "m")
 
 
@@ -44,7 +44,7 @@ def components(edges: DataFrame) -> DataFrame:
     while not _all_stars(state):
         both = state.union(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _least_neighbour(both, own=True).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = written(large.where("u <> v").distinct(), "edges")
+        large = written(large.where("u <> v"), "edges")
         least = _least_neighbour(large, own=False)
         small = least.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         small = small.union(least.select("u", F.col("m").alias("v"))).distinct()

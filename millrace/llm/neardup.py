@@ -37,7 +37,7 @@ from .components import components
 
 PICKED, SKETCHES, SIMILARITY = 2, 40, 0.8
 RUN = 3  # words of the k-mers in the buckets: at a similarity of 0.8 runs of three agree far more often than of five
-BAND, CELLS = 16, 1 << 21
+BAND, CELLS, HELD = 16, 1 << 16, 1 << 21  # first width of an alignment; cells of a step and words of pairs that run together
 BINS, TILE = 512, 1024  # bins of the word counts, documents of a tile, about
 NEAREST = 4  # partners a document names in a round, before all are looked at
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -115,49 +115,43 @@ def banded_distance(a: list[np.ndarray], b: list[np.ndarray], band: int) -> np.n
     """Edit distances of pairs of word sequences, aligned within `band` places of the diagonal: exact
     where at most `band`, else an upper bound (the sum of lengths where no alignment stays inside).
 
-    All pairs run together, a row of each alignment at a time.
+    All pairs run together, a counterdiagonal of each alignment at a time: its cells follow only from the
+    two counterdiagonals before. Those of even number hold the even distances from the diagonal, those of
+    odd number the odd ones. Cells before the first word are far away and those behind the last one lead to none
+    that is asked for, so that neither needs a mask.
     """
+    band += band % 2
     n, m = np.array([len(x) for x in a]), np.array([len(x) for x in b])
-    width, rows = 2 * band + 1, int(n.max(initial=0))
-    left = np.zeros((len(a), rows), np.uint32)
-    right = np.zeros((len(a), rows + width + 1), np.uint32)
-    for i, (x, y) in enumerate(zip(a, b)):
-        left[i, : len(x)] = x
-        y = y[: rows + band]
-        right[i, band : band + len(y)] = y
-    offsets = np.arange(width, dtype=np.int32) - band
-    far = np.int32(1 << 29)
-    current = np.where(offsets[None, :] >= 0, offsets[None, :], far).astype(np.int32).repeat(len(a), axis=0)
-    current[offsets[None, :] > m[:, None]] = far
-    result = np.where((n == 0) & (m <= band), m, n + m).astype(np.int64)
-    alive = np.arange(len(a))
-    for i in range(1, rows + 1):
-        columns = offsets + i  # of the other text, from 1
-        same = left[alive, i - 1][:, None] == right[alive, i - 1 : i - 1 + width]
-        new = current + ~same
-        # Down: the cell above lies one to the right in the band.
-        np.minimum(new[:, :-1], current[:, 1:] + 1, out=new[:, :-1])
-        outside = (columns[None, :] < 0) | (columns[None, :] > m[alive][:, None])
-        zero = columns == 0
-        if zero.any():
-            new[:, zero] = i
-        new[outside] = far
-        # Along the row: a running minimum after taking off the cost of each step.
-        new -= offsets[None, :]
-        np.minimum.accumulate(new, axis=1, out=new)
-        new += offsets[None, :]
-        new[outside] = far
-        current = new
-        done = n[alive] == i
-        if done.any():
-            at = np.flatnonzero(done)
-            shift = m[alive[at]] - i + band
-            ok = (shift >= 0) & (shift < width)
-            cell = current[at[ok], shift[ok]]
-            result[alive[at[ok]]] = np.minimum(result[alive[at[ok]]], cell)
-            alive, current = alive[~done], current[~done]
-            if not len(alive):
-                break
+    last = int((n + m).max(initial=0))
+    top, low = (last + band) // 2 + 1, band // 2 + 1
+    left = np.zeros((top + low + 1, len(a)), np.uint32)  # word i (from 1) in row top - i, word j below in row low + j
+    right = np.zeros((top + low + 1, len(a)), np.uint32)
+    for at, (x, y) in enumerate(zip(a, b)):
+        x, y = x[: top - 1], y[: top]
+        left[top - len(x) : top, at] = x[::-1]
+        right[low + 1 : low + 1 + len(y), at] = y
+    kind, far = (np.int16, 16000) if last + band < 15000 else (np.int32, 1 << 29)
+    even = np.full((band + 1, len(a)), far, kind)
+    even[band // 2] = 0
+    odd = np.full((band + 2, len(a)), far, kind)  # a row that stays far at both ends
+    other, spare = np.empty((band + 1, len(a)), bool), np.empty((band + 1, len(a)), kind)
+    result = n + m
+    ends = np.flatnonzero((np.abs(m - n) <= band) & (result > 0))
+    ends = ends[np.argsort(result[ends], kind="stable")]
+    when, next_ = result[ends], 0
+    for d in range(1, last + 1):
+        cells, size = (odd[1:-1], band) if d % 2 else (even, band + 1)
+        before = even if d % 2 else odd
+        r, s = top - (d + size - 1) // 2, low + (d - size + 1) // 2
+        np.not_equal(left[r : r + size], right[s : s + size], out=other[:size])
+        np.add(cells, other[:size], out=cells)
+        np.minimum(before[:-1], before[1:], out=spare[:size])
+        np.add(spare[:size], 1, out=spare[:size])
+        np.minimum(cells, spare[:size], out=cells)
+        while next_ < len(ends) and when[next_] == d:
+            at = ends[next_]
+            result[at] = min(result[at], int(cells[(m[at] - n[at] + size - 1) // 2, at]))
+            next_ += 1
     return result
 
 
@@ -168,49 +162,55 @@ def _shared(a: np.ndarray, b: np.ndarray) -> int:
     return len(at)
 
 
-def may_be_similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
-    """False only where counting shows a distance that is too large: an edit spoils one word, and at
-    most two pairs of neighbouring words."""
+def least_distance(a: np.ndarray, b: np.ndarray) -> int:
+    """A bound of the edit distance from below, by counting: an edit spoils one word, and at most two pairs of
+    neighbouring words."""
     longer = max(len(a), len(b))
-    most = (1 - least) * longer + 1e-9
-    if longer - min(len(a), len(b)) > most:
-        return False
-    if _shared(np.sort(a), np.sort(b)) < longer - most:
-        return False
+    least = max(longer - min(len(a), len(b)), longer - _shared(np.sort(a), np.sort(b)))
     if min(len(a), len(b)) > 1:
         pairs = [np.sort(x[:-1].astype(np.uint64) << np.uint64(32) | x[1:]) for x in (a, b)]
-        if _shared(*pairs) < longer - 1 - 2 * most:
-            return False
-    return True
+        least = max(least, (longer - _shared(*pairs)) // 2)
+    return least
 
 
 def similar(pairs: list[tuple[np.ndarray, np.ndarray]], least: float = SIMILARITY) -> np.ndarray:
-    """Edit similarities of pairs of word sequences, exact where at least `least`, else 0. Bands widen
-    from `BAND` to the largest distance that counts, for the pairs that a narrower one leaves open."""
+    """Edit similarities of pairs of word sequences where an alignment gives at least `least`, else 0. Bands widen
+    from `BAND` to the largest distance that counts, for the pairs that a narrower one leaves open; bands below
+    what counting leaves possible are passed over."""
     out = np.zeros(len(pairs))
     longer = np.array([max(len(a), len(b)) for a, b in pairs], np.int64)
     most = np.floor((1 - least) * longer + 1e-9).astype(np.int64)
+    lower = np.zeros(len(pairs), np.int64)
     for i, (a, b) in enumerate(pairs):
         if len(a) == len(b) and np.array_equal(a, b):
             out[i] = 1.0
-    open_ = np.array([i for i, (a, b) in enumerate(pairs) if not out[i] and may_be_similar(a, b, least)], np.int64)
-    open_ = open_[np.argsort(longer[open_], kind="stable")]
+        elif longer[i] - min(len(a), len(b)) > most[i]:
+            lower[i] = most[i] + 1
+        else:
+            lower[i] = least_distance(a, b)
+    waiting = np.flatnonzero((out == 0) & (lower <= most))
+    waiting = waiting[np.argsort(longer[waiting], kind="stable")]
     band = BAND
-    while len(open_):
-        left = []
+    while len(waiting):
+        open_, left = waiting[lower[waiting] <= band], [waiting[lower[waiting] > band]]
         start = 0
         while start < len(open_):
             end = start + 1
-            while end < len(open_) and (end + 1 - start) * (longer[open_[end]] + 2 * band) <= CELLS and end - start < 512:
+            while end < len(open_) and end - start < 512:
+                of_all = end + 1 - start
+                if of_all * min(band, most[open_[end]]) > CELLS or of_all * (longer[open_[end]] + band) > HELD:
+                    break
                 end += 1
             part = open_[start:end]
-            found = banded_distance([pairs[i][0] for i in part], [pairs[i][1] for i in part], band)
+            width = int(min(band, most[part].max()))
+            found = banded_distance([pairs[i][0] for i in part], [pairs[i][1] for i in part], width)
             good = found <= most[part]
             # What a band accepts is a true alignment; only a band as wide as the limit may reject.
             out[part[good]] = 1 - found[good] / longer[part[good]]
-            left.append(part[~good & (most[part] > band)])
+            left.append(part[~good & (most[part] > width)])
             start = end
-        open_, band = np.concatenate(left), band * 4
+        waiting, band = np.concatenate(left), band * 4
+        waiting = waiting[np.argsort(longer[waiting], kind="stable")]
     return out
 
 

@@ -278,3 +278,31 @@ def test_pipeline_stages_on_odd_documents(spark, odd_docs, no_docs):
             docs = written(stage(spark, docs, folder), "stage")
             docs.count()
     assert written(corpus_pipeline.keep_language(spark, odd_docs, folder), "x").where("text is null").count() == 0
+
+
+def test_counterdiagonals_give_the_distances_of_a_plain_table():
+    draw = np.random.default_rng(7)
+    pairs = []
+    for _ in range(150):
+        a = draw.integers(0, 12, draw.integers(0, 50)).astype(np.uint32)
+        b = a[draw.random(len(a)) > 0.1]
+        if draw.random() < 0.5:
+            b = np.insert(b, draw.integers(0, len(b) + 1, 3), draw.integers(0, 12, 3)).astype(np.uint32)
+        pairs.append((a, b) if draw.random() < 0.5 else (b, a))
+    true = []
+    for a, b in pairs:
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a.tolist(), 1):
+            new = [i]
+            for j, y in enumerate(b.tolist(), 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        true.append(row[-1])
+    true = np.array(true)
+    for band in (2, 5, 16, 60):
+        found = neardup.banded_distance([a for a, _ in pairs], [b for _, b in pairs], band)
+        assert (found >= true).all() and (found[true <= band] == true[true <= band]).all()
+    assert all(neardup.least_distance(a, b) <= d for (a, b), d in zip(pairs, true))
+    longer = np.array([max(len(a), len(b)) for a, b in pairs])
+    expected = np.where(longer > 0, 1 - true / np.maximum(longer, 1), 1.0)
+    assert np.allclose(neardup.similar(pairs), np.where(expected >= 0.8 - 1e-12, expected, 0))
