@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions import keys
 from millrace.operators import layout, lookup, profile
@@ -18,11 +18,12 @@ from .stores import FLAGS, _named
 PARTS = 3
 
 
-def _arriving(spark, rows: DataFrame, order: str, closing: DataFrame | None = None, late: DataFrame | None = None):
+def _arriving(spark, rows: DataFrame, order: str | Column, closing: DataFrame | None = None, late: DataFrame | None = None):
     """The rows as a stream that brings a third at a time, in order, then late rows and a closing one."""
     path = scratch_path(spark, "arriving")
+    order = F.col(order) if isinstance(order, str) else order
     low, high = rows.agg(F.min(order), F.max(order)).first()
-    place = F.least(F.floor((F.col(order) - F.lit(low)) * PARTS / F.lit(high - low + 1)), F.lit(PARTS - 1))
+    place = F.least(F.floor((order - F.lit(low)) * PARTS / F.lit(high - low + 1)), F.lit(PARTS - 1))
     for number in range(PARTS):
         rows.where(place == number).coalesce(1).write.mode("append").parquet(path)
     for extra in (late, closing):
@@ -47,7 +48,8 @@ def stream_keyed_buffers(spark, sf):
     """Events in the buffers of their users: a buffer opens with a user's first event and is released an hour
     later; the next event opens the next."""
     events = _events(spark, sf).select("event_id", "ts", "user_id")
-    stream, path = _arriving(spark, events, "event_id", _closing(events))
+    # By time, as numbers of events need not rise with it; else rows would come behind the watermark.
+    stream, path = _arriving(spark, events, F.unix_micros("ts"), _closing(events))
     with state.rocksdb(spark):
         held = state.keyed_buffers(stream, ["user_id"], "ts", 3600, ["event_id"], late="10 minutes")
         files.append_files(held, f"{path}-out", f"{path}-checkpoint", available_now=True).awaitTermination()

@@ -3,10 +3,14 @@
 import os
 import random
 import uuid
+from types import SimpleNamespace
 
+import pandas as pd
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
+from __spark_entry__ import queries
+from conftest import SF
 from millrace.operators import lookup, profile
 from millrace.operators.changes import apply_batch, upsert_patch
 from millrace.plans import compaction
@@ -62,6 +66,79 @@ def test_buffers_open_with_the_first_row_and_close_later(spark, seed):
     assert kept[-1] < max(kept)
 
 
+class _State:
+    """A key's state in memory, whose calls are counted."""
+
+    def __init__(self):
+        self.calls, self.timers, self.stored = 0, set(), {}
+
+    def getListState(self, name, schema):
+        return _Stored(self, name)
+
+    getValueState = getListState
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.calls += 1
+        self.timers.remove(at)
+
+
+class _Stored:
+    def __init__(self, handle, name):
+        self.handle, self.name = handle, name
+
+    def exists(self):
+        self.handle.calls += 1
+        return self.name in self.handle.stored
+
+    def get(self):
+        self.handle.calls += 1
+        return self.handle.stored.get(self.name)
+
+    def update(self, value):
+        self.handle.calls += 1
+        self.handle.stored[self.name] = value
+
+    put = update
+
+    def appendList(self, values):
+        self.update([*self.handle.stored.get(self.name, []), *values])
+
+    def clear(self):
+        self.handle.calls += 1
+        self.handle.stored.pop(self.name, None)
+
+
+def test_a_key_with_many_buffers_costs_few_calls_and_one_frame():
+    minute = 60_000_000
+    handle, clock = _State(), SimpleNamespace(getCurrentWatermarkInMs=lambda: 950 * 1200_000)
+    long = [T.StructField(name, T.LongType()) for name in ("user", "seq")]
+    held = state._Buffers(long[:1], long[1:], 10 * minute, True)
+    held.init(handle)
+    rows = pd.DataFrame({"at_us": [i * 20 * minute for i in range(1000)], "seq": [None, *range(1, 1000)]})
+    list(held.handleInputRows((1,), iter([rows[500:], rows[:500]]), clock))
+    frames = list(held.handleExpiredTimer((1,), clock, None))
+    assert len(frames) == 1 and handle.calls < 20
+    assert frames[0]["seq"].tolist() == [None, *range(1, 950)]
+    assert frames[0]["opened_us"].tolist() == rows["at_us"][:950].tolist()
+    # Fifty wait for the next timer.
+    assert (handle.stored["opened"], len(handle.stored["rows"][0][0])) == ((950 * 20 * minute,), 50)
+    assert max(handle.timers) == (950 * 20 + 10) * 60_000
+
+
+def test_buffers_of_events_whose_numbers_do_not_follow_time(spark, tmp_path):
+    events = spark.read.parquet(f"{SF}/events.parquet").where("event_id < 200")
+    shifted = [events.withColumns({"event_id": F.col("event_id") + i * 200, "user_id": F.col("user_id") % 5}) for i in range(3)]
+    shifted[0].unionAll(shifted[1]).unionAll(shifted[2]).write.parquet(str(tmp_path / "events.parquet"))
+    stored = spark.read.parquet(str(tmp_path / "events.parquet"))
+    rows = [(r["user_id"], r["event_id"], r["us"], None) for r in stored.selectExpr("*", "unix_micros(CAST(ts AS TIMESTAMP)) AS us").collect()]
+    found = queries()["stream_keyed_buffers"](spark, str(tmp_path)).collect()
+    assert sorted((tuple(r) for r in found), key=str) == plain_buffers(rows, 3_600_000_000)
+
+
 def test_buffers_by_the_clock(spark):
     stream = arriving(spark, as_events(spark, [(1, 1, 0, "a"), (1, 2, 10**15, "b"), (2, 3, 5, None)]))
     path = scratch_path(spark, "clock")
