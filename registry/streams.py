@@ -51,7 +51,7 @@ def stream_keyed_buffers(spark, sf):
     # By time, as numbers of events need not rise with it; else rows would come behind the watermark.
     stream, path = _arriving(spark, events, F.unix_micros("ts"), _closing(events))
     with state.rocksdb(spark):
-        held = state.keyed_buffers(stream, ["user_id"], "ts", 3600, ["event_id"], late="10 minutes")
+        held = state.keyed_buffers(stream, ["user_id"], "ts", 3600, ["event_id"], late="10 minutes", groups=1024)
         files.append_files(held, f"{path}-out", f"{path}-checkpoint", available_now=True).awaitTermination()
     return files.appended(spark, f"{path}-out").select("user_id", "event_id", "opened_us")
 

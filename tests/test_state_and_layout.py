@@ -129,6 +129,20 @@ def test_a_key_with_many_buffers_costs_few_calls_and_one_frame():
     assert max(handle.timers) == (950 * 20 + 10) * 60_000
 
 
+def test_keys_that_share_a_state_give_the_same_buffers(spark):
+    draw, minute = random.Random(5), 60_000_000
+    rows = [(draw.choice([1, 2, 3, 4, None]), i, i * minute // 2 + draw.randrange(minute * 3), draw.choice(["a", None])) for i in range(300)]
+    stream = arriving(spark, *[as_events(spark, p) for p in (rows[:100], rows[100:101], rows[101:], [(-9, -1, 10**12, None)])])
+    path = scratch_path(spark, "shared")
+    with state.rocksdb(spark):
+        held = state.keyed_buffers(stream, ["user", "note"], "ts", 600, ["seq"], late="5 minutes", groups=2)
+        files.append_files(held, f"{path}/out", f"{path}/checkpoint", available_now=True).awaitTermination()
+    found = [((r["user"], r["note"]), r["seq"], r["opened_us"]) for r in files.appended(spark, f"{path}/out").collect()]
+    assert sorted(found, key=str) == plain_buffers([((u, n), i, us, n) for u, i, us, n in rows], 600_000_000)
+    with pytest.raises(ValueError):
+        state.keyed_buffers(stream.withColumn("user", F.col("user") / 2), ["user"], "ts", 600, ["seq"], groups=2)
+
+
 def test_buffers_of_events_whose_numbers_do_not_follow_time(spark, tmp_path):
     events = spark.read.parquet(f"{SF}/events.parquet").where("event_id < 200")
     shifted = [events.withColumns({"event_id": F.col("event_id") + i * 200, "user_id": F.col("user_id") % 5}) for i in range(3)]
